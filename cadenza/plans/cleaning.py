@@ -244,7 +244,7 @@ def serving_fill_policy(spark, folder):
 
 @query("""
     SELECT c_custkey, least(greatest(c_acctbal / 50, 0.0), 100.0) AS clamped,
-           (-(c_acctbal / 200) + 60) / 60 AS rescaled, round(c_acctbal * 100.0 / 9999.99, 1) AS percent
+           (-(c_acctbal / 200) + 60) / 60 AS rescaled, round(c_acctbal * 100.0 / 9999.99, 1) + 0.0 AS percent
     FROM customer
 """)
 def clamp_and_rescale(spark, folder):

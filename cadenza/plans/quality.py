@@ -185,7 +185,8 @@ _QUALITY_SQL = """
         FROM lineitem),
     n AS (SELECT count(*) AS n, count(l_discount) AS d, count(l_tax) AS t FROM raw),
     classes AS (SELECT l_returnflag, count(*) AS c FROM raw WHERE l_returnflag IS NOT NULL GROUP BY 1),
-    copies AS (SELECT sum(c - 1) AS dup, sum(c) AS n FROM (SELECT count(*) AS c FROM raw GROUP BY ALL)),
+    copies AS (SELECT sum(c - 1) AS dup, sum(c) AS n FROM (
+        SELECT count(*) AS c FROM raw GROUP BY l_orderkey, l_quantity, l_discount, l_tax, l_returnflag, fixed)),
     missing AS (
         SELECT unnest(['l_orderkey', 'l_quantity', 'l_discount', 'l_tax', 'l_returnflag', 'fixed']) AS c,
                unnest([0, 0, (n - d) * 100.0 / n, (n - t) * 100.0 / n, 0, 0]::DOUBLE[]) AS v FROM n),
