@@ -7,11 +7,14 @@ enough to get a prediction.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
@@ -24,7 +27,7 @@ from cadenza.constants import CORE_FEATURES, MODEL_FEATURES, SEED, TEST_FRACTION
 from cadenza.functions.names import leak_free_features
 from cadenza.functions.scalar import clamp, score_map, top_classes
 from cadenza.operators.clean import fill
-from cadenza.operators.features import MODEL_PARENTS, scaling_stats
+from cadenza.operators.features import MODEL_PARENTS, scaling_stats, standard_scale
 from cadenza.operators.metrics import (
     classification_metrics, regression_metrics, silhouette,
 )
@@ -37,6 +40,7 @@ TREES = 100
 REGRESSOR_DEPTH = 10
 CLASSIFIER_DEPTH = 30  # the most Spark allows; the goal is unlimited depth
 RESTARTS = 10
+TOLERANCE = 1e-4  # summed squared shift of the centres, in units of the features' variance
 
 _HIDDEN = "_f_"
 
@@ -64,27 +68,47 @@ def _number(value: float | None) -> str:
 
 
 def _clean(expression: str) -> str:
-    value = f"nanvl(CAST({expression} AS DOUBLE), NULL)"
-    return f"nullif(nullif({value}, DOUBLE('Infinity')), DOUBLE('-Infinity'))"
+    """NULL for NaN and the infinities: neither is below infinity."""
+    return f"CASE WHEN abs(CAST({expression} AS DOUBLE)) < DOUBLE('Infinity') THEN CAST({expression} AS DOUBLE) END"
 
 
-def feature_stages(df: DataFrame, features: Mapping[str, str], scale: bool = False, gaps: str = "median",
-                   exact: bool = True) -> list:
-    """Fit the feature part of a pipeline on ``df``: formulas, fill values, scaling, vector."""
+@contextmanager
+def _prepared(df: DataFrame, features: Mapping[str, str], scale: bool = False, label: str | None = None,
+              gaps: str = "median", exact: bool = True):
+    """The feature stages fitted on ``df``, and the vectors (and label) to train on.
+
+    The input is evaluated once: statistics and the trainer's many passes read the cached numbers.
+    AQE packs a small table into one partition; training is bound by computing, not by bytes, so the
+    vectors of such a table are spread over the cores. A large table is not shuffled.
+    """
     names = list(features)
-    raw = df.selectExpr(*[f"{_clean(e)} AS `{n}`" for n, e in features.items()])
-    medians = {n: 0.0 for n in names}
-    if gaps == "median":
-        medians = exact_medians(raw, names) if exact else approximate_medians(raw, names)
-    columns = {n: f"coalesce({_clean(features[n])}, {_number(medians[n])})" for n in names}
-    if scale:
-        stats = scaling_stats(fill(raw, {n: medians[n] or 0.0 for n in names}), names)
-        columns = {n: f"({e} - {_number(stats[n][0])}) / {_number(stats[n][1] or 1.0)}" for n, e in columns.items()}
-    listed = ", ".join(f"{e} AS `{_HIDDEN}{n}`" for n, e in columns.items())
-    return [
-        SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"{_HIDDEN}{n}" for n in names], outputCol="_features"),
-    ]
+    labels = [label] if label else []
+    raw = df.selectExpr(*[f"{_clean(e)} AS `{n}`" for n, e in features.items()], *labels)
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = raw.count()
+        medians = {n: 0.0 for n in names}
+        if gaps == "median":
+            medians = exact_medians(raw, names, rows=rows) if exact else approximate_medians(raw, names)
+        medians = {n: m or 0.0 for n, m in medians.items()}
+        filled = fill(raw, medians)
+        columns = {n: f"coalesce({_clean(features[n])}, {_number(medians[n])})" for n in names}
+        if scale:
+            stats = scaling_stats(filled, names)
+            filled = standard_scale(filled, names, stats)
+            columns = {n: f"({e} - {_number(stats[n][0])}) / {_number(stats[n][1] or 1.0)}" for n, e in columns.items()}
+        listed = ", ".join(f"{e} AS `{_HIDDEN}{n}`" for n, e in columns.items())
+        stages = [
+            SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"{_HIDDEN}{n}" for n in names], outputCol="_features"),
+        ]
+        vectors = VectorAssembler(inputCols=names, outputCol="_features").transform(filled).select("_features", *labels)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if raw.rdd.getNumPartitions() < cores:
+            vectors = vectors.repartition(cores)
+        yield stages, vectors
+    finally:
+        raw.unpersist()
 
 
 def feature_names(model: PipelineModel) -> list[str]:
@@ -109,14 +133,17 @@ def train_classifier(df: DataFrame, target: str, key: str, features: Mapping[str
     labelled = split_stratified(df.filter(F.col(target).isNotNull()), key, target, test_fraction, seed)
     train, test = labelled.filter(~F.col("is_test")), labelled.filter("is_test")
     train = train.withColumn("_label_text", F.col(target).cast("string"))
-    indexer = StringIndexer(inputCol="_label_text", outputCol="_label", stringOrderType="alphabetAsc").fit(train)
+    indexer = StringIndexer(inputCol="_label_text", outputCol="_label", stringOrderType="alphabetAsc")
     forest = RandomForestClassifier(
         labelCol="_label", featuresCol="_features", predictionCol="_prediction", rawPredictionCol="_raw",
         probabilityCol="_probability", numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed,
         maxMemoryInMB=1024,
     )
-    names = IndexToString(inputCol="_prediction", outputCol="predicted", labels=indexer.labels)
-    model = Pipeline(stages=[*feature_stages(train, features), indexer, forest, names]).fit(train)
+    with _prepared(train, features, label="_label_text") as (stages, vectors):
+        indexed = indexer.fit(vectors)
+        fitted = forest.fit(indexed.transform(vectors))
+    names = IndexToString(inputCol="_prediction", outputCol="predicted", labels=indexed.labels)
+    model = PipelineModel(stages=[*stages, fitted, names])
     return model, score_classes(test, model)
 
 
@@ -132,33 +159,40 @@ def train_regressor(df: DataFrame, target: str, key: str, features: Mapping[str,
         labelCol="_label", featuresCol="_features", predictionCol="predicted", numTrees=trees, maxDepth=depth,
         featureSubsetStrategy="all", seed=seed, maxMemoryInMB=1024,
     )
-    model = Pipeline(stages=[*feature_stages(train, features), forest]).fit(train)
+    with _prepared(train, features, label="_label") as (stages, vectors):
+        fitted = forest.fit(vectors)
+    model = PipelineModel(stages=[*stages, fitted])
     return model, _visible(model.transform(test))
 
 
 def train_clusters(df: DataFrame, k: int = 2, features: Mapping[str, str] | None = None, restarts: int = RESTARTS,
-                   seed: int = SEED, max_iterations: int = 300) -> PipelineModel:
+                   seed: int = SEED, max_iterations: int = 300, parallel: int = 4) -> PipelineModel:
     """K-means on scaled features; of several starts the one with the least cost is kept."""
     features = features or track_features(df.columns)
-    prepared = Pipeline(stages=feature_stages(df, features, scale=True)).fit(df)
-    vectors = prepared.transform(df).select("_features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = (
-            KMeans(k=k, seed=seed + i, initMode="k-means||", maxIter=max_iterations, featuresCol="_features",
-                   predictionCol="cluster").fit(vectors)
-            for i in range(restarts)
-        )
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
-    return PipelineModel(stages=[*prepared.stages, best])
+    tolerance = math.sqrt(TOLERANCE / k)
+    trainers = [
+        KMeans(k=k, seed=seed + i, initMode="k-means||", maxIter=max_iterations, tol=tolerance,
+               featuresCol="_features", predictionCol="cluster")
+        for i in range(restarts)
+    ]
+    with _prepared(df, features, scale=True) as (stages, vectors):
+        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # The starts do not depend on each other: several run at once.
+            with ThreadPoolExecutor(parallel) as pool:
+                fits = list(pool.map(inheritable_thread_target(df.sparkSession)(lambda t: t.fit(vectors)), trainers))
+        finally:
+            vectors.unpersist()
+    best = min(fits, key=lambda m: m.summary.trainingCost)
+    return PipelineModel(stages=[*stages, best])
 
 
 def similarity_index(df: DataFrame, info: Sequence[str], features: Mapping[str, str] | None = None,
                      ) -> tuple[PipelineModel, DataFrame]:
     """Scaled feature vectors beside the columns shown for a hit: save it as Parquet to keep it."""
     features = features or track_features(df.columns)
-    scaler = Pipeline(stages=feature_stages(df, features, scale=True)).fit(df)
+    with _prepared(df, features, scale=True) as (stages, _):
+        scaler = PipelineModel(stages=stages)
     return scaler, index_rows(df, scaler, info)
 
 

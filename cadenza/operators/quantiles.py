@@ -43,38 +43,39 @@ class _Bracket:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    small: int = SMALL_COLUMN) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column, NULLs ignored; ``None`` for an all-NULL column."""
+                    small: int = SMALL_COLUMN, rows: int | None = None) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles per column, NULLs ignored; ``None`` for an all-NULL column.
+
+    ``rows``: the table's row count, if the caller has it already.
+    """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    counts = df.agg(*[F.count(c).alias(str(i)) for i, c in enumerate(columns)]).first()
-    rows = {c: counts[i] for i, c in enumerate(columns)}
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns if not rows[c]}
+    if (df.count() if rows is None else rows) <= small:
+        grid = F.array(*[F.lit(float(p)) for p in probs])
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), grid).alias(str(i)) for i, c in enumerate(columns)]).first()
+        return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
+    return _large_quantiles(df, columns, probs, small)
 
-    direct = [c for c in columns if 0 < rows[c] <= small]
-    if direct:
-        row = df.agg(*[
-            F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs])).alias(str(i))
-            for i, c in enumerate(direct)
-        ]).first()
-        result.update({c: list(row[i]) for i, c in enumerate(direct)})
-
-    large = [c for c in columns if rows[c] > small]
-    if large:
-        wanted = sorted({(c, r) for c in large for p in probs for r in _ranks(rows[c], p)})
-        value = _order_statistics(df, wanted, rows, small)
-        for c in large:
-            result[c] = []
-            for p in probs:
-                lower, upper = (value[c, r] for r in _ranks(rows[c], p))
-                position = (rows[c] - 1) * p
-                result[c].append(lower + (upper - lower) * (position - math.floor(position)))
-    return result
+
+def exact_medians(df: DataFrame, columns: Sequence[str], small: int = SMALL_COLUMN,
+                  rows: int | None = None) -> dict[str, float | None]:
+    return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5], small, rows).items()}
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], small: int = SMALL_COLUMN) -> dict[str, float | None]:
-    return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5], small).items()}
+def _large_quantiles(df, columns, probs, small) -> dict[str, list[float | None]]:
+    counts = df.agg(*[F.count(c).alias(str(i)) for i, c in enumerate(columns)]).first()
+    filled = {c: counts[i] for i, c in enumerate(columns) if counts[i]}
+    wanted = sorted({(c, r) for c, n in filled.items() for p in probs for r in _ranks(n, p)})
+    value = _order_statistics(df, wanted, filled, small) if wanted else {}
+    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for c, n in filled.items():
+        for i, p in enumerate(probs):
+            lower, upper = (value[c, r] for r in _ranks(n, p))
+            position = (n - 1) * p
+            gap = position - math.floor(position)
+            result[c][i] = lower + (upper - lower) * gap if gap else lower
+    return result
 
 
 def approximate_medians(df: DataFrame, columns: Sequence[str], accuracy: int = _ACCURACY) -> dict[str, float | None]:

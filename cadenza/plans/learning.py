@@ -130,8 +130,10 @@ def columns_by_importance(spark, folder):
     derived AS (
         SELECT *, danceability * energy AS a, valence / (energy + 0.000001::DOUBLE) AS b, acousticness * instrumentalness AS c,
                speechiness / (energy + 0.000001::DOUBLE) AS d FROM tracks),
-    long AS (UNPIVOT INCLUDE NULLS derived ON danceability, energy, loudness, speechiness, acousticness, instrumentalness, valence, a, b, c, d
-             INTO NAME f VALUE v),
+    long AS (
+        SELECT track_id, unnest(['danceability', 'energy', 'loudness', 'speechiness', 'acousticness', 'instrumentalness', 'valence', 'a', 'b', 'c', 'd']) AS f,
+               unnest([danceability, energy, loudness, speechiness, acousticness, instrumentalness, valence, a, b, c, d]) AS v
+        FROM derived),
     filled AS (SELECT track_id, f, coalesce(v, median(v) OVER (PARTITION BY f)) AS v FROM long),
     scaled AS (SELECT track_id, f, (v - avg(v) OVER (PARTITION BY f)) / stddev_pop(v) OVER (PARTITION BY f) AS z FROM filled)
     SELECT track_id, round(sqrt(sum(z * z)), 5) AS length FROM scaled GROUP BY 1
