@@ -1,23 +1,27 @@
 """Exact quantiles without collecting a column.
 
-Spark's ``percentile`` keeps every distinct value of a column in one aggregation buffer. That is
-fine for small columns and is used for them. For larger ones the wanted order statistics are
-bracketed first: each round takes sketch quantiles of the values between two known bounds, counts
-exactly around the sketch's guesses and moves the bounds inward. A round costs two scans with
-constant-size buffers and shrinks the bracket by a factor of about a thousand.
+Spark's ``percentile`` keeps every distinct value of a column in one aggregation buffer. It is used
+where a column has few distinct values. Elsewhere the wanted order statistics are bracketed first:
+each round takes sketch quantiles of the values between two known bounds, counts exactly around the
+sketch's guesses and moves the bounds inward. A round costs two scans with small buffers and
+shrinks a bracket by a factor of about five hundred.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL_COLUMN = 200_000
-_GUESS_SPREAD = (0.0, 0.0005, 0.005)
+_GUESS_SPREAD = (0.0, 0.001, 0.01)
+_SKETCH_ACCURACY = 2_000
 _ACCURACY = 10_000
 
 
@@ -34,12 +38,19 @@ class _Bracket:
     value: float | None = None
 
     @property
-    def size(self) -> int:
-        return self.upto - self.below
+    def interval(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
 
-    def inside(self):
-        c = F.col(self.column).cast("double")
-        return F.when((c > F.lit(self.low)) & (c < F.lit(self.high)), c)
+    def narrow(self, guess: float, less: int, not_more: int) -> None:
+        """Take in that ``less`` rows are below ``guess`` and ``not_more`` are not above it."""
+        if self.value is not None or not self.low < guess < self.high:
+            return
+        if less <= self.rank < not_more:
+            self.value = guess
+        elif not_more <= self.rank:
+            self.low, self.below = guess, not_more
+        else:
+            self.high, self.upto = guess, less
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -52,9 +63,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     if not columns:
         return {}
     if (df.count() if rows is None else rows) <= small:
-        grid = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), grid).alias(str(i)) for i, c in enumerate(columns)]).first()
-        return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
+        return _direct(df, columns, probs)
     return _large_quantiles(df, columns, probs, small)
 
 
@@ -63,18 +72,41 @@ def exact_medians(df: DataFrame, columns: Sequence[str], small: int = SMALL_COLU
     return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5], small, rows).items()}
 
 
+def _direct(df, columns, probs) -> dict[str, list[float | None]]:
+    grid = F.array(*[F.lit(float(p)) for p in probs])
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), grid).alias(str(i)) for i, c in enumerate(columns)]).first()
+    return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
+
+
 def _large_quantiles(df, columns, probs, small) -> dict[str, list[float | None]]:
-    counts = df.agg(*[F.count(c).alias(str(i)) for i, c in enumerate(columns)]).first()
-    filled = {c: counts[i] for i, c in enumerate(columns) if counts[i]}
-    wanted = sorted({(c, r) for c, n in filled.items() for p in probs for r in _ranks(n, p)})
-    value = _order_statistics(df, wanted, filled, small) if wanted else {}
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    for c, n in filled.items():
-        for i, p in enumerate(probs):
-            lower, upper = (value[c, r] for r in _ranks(n, p))
-            position = (n - 1) * p
-            gap = position - math.floor(position)
-            result[c][i] = lower + (upper - lower) * gap if gap else lower
+    infinite = [F.lit(-math.inf), F.lit(math.inf)]
+    sizes = df.agg(*[
+        f.alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (
+            ("n", F.count(c)), ("d", F.approx_count_distinct(c)),
+            ("low", F.count_if(F.col(c).cast("double") == infinite[0])),
+            ("high", F.count_if(F.col(c).cast("double") == infinite[1])),
+        )
+    ]).first()
+    few = [c for i, c in enumerate(columns) if sizes[f"d{i}"] * 1.2 <= small]
+    result = _direct(df, few, probs) if few else {}
+    brackets = {}
+    for i, c in enumerate(columns):
+        if c in few:
+            continue
+        n, low, high = sizes[f"n{i}"], sizes[f"low{i}"], sizes[f"high{i}"]
+        for p in probs:
+            for r in _ranks(n, p):
+                edge = -math.inf if r < low else math.inf if r >= n - high else None
+                brackets[c, r] = _Bracket(c, r, -math.inf, math.inf, low, n - high, edge)
+    _settle(df, list(brackets.values()), small)
+    for i, c in enumerate(columns):
+        if c in few:
+            continue
+        result[c] = []
+        for p in probs:
+            lower, upper = (brackets[c, r].value for r in _ranks(sizes[f"n{i}"], p))
+            gap = (sizes[f"n{i}"] - 1) * p % 1
+            result[c].append(lower + (upper - lower) * gap if gap else lower)
     return result
 
 
@@ -94,68 +126,79 @@ def _ranks(n: int, p: float) -> tuple[int, int]:
     return math.floor(position), math.ceil(position)
 
 
-def _order_statistics(df, wanted, rows, small) -> dict[tuple[str, int], float]:
-    brackets = [_Bracket(c, r, -math.inf, math.inf, 0, rows[c]) for c, r in wanted]
-    _settle_infinities(df, brackets)
-    while True:
-        wide = [b for b in brackets if b.value is None and b.size > small]
-        if not wide:
-            break
-        guesses = _sketch(df, wide)
-        _narrow(df, wide, guesses)
-    open_ = [b for b in brackets if b.value is None]
-    if open_:
-        row = df.agg(*[
-            F.element_at(F.array_sort(F.collect_list(b.inside())), b.rank - b.below + 1).alias(str(i))
-            for i, b in enumerate(open_)
-        ]).first()
-        for i, b in enumerate(open_):
-            b.value = row[i]
-    return {(b.column, b.rank): b.value for b in brackets}
-
-
-def _settle_infinities(df, brackets) -> None:
-    """The bounds are exclusive, so rows that are infinite themselves are accounted for up front."""
-    columns = sorted({b.column for b in brackets})
-    row = df.agg(*[
-        F.count_if(F.col(c).cast("double") == F.lit(bound)).alias(f"{i}_{j}")
-        for i, c in enumerate(columns) for j, bound in enumerate((-math.inf, math.inf))
-    ]).first()
+def _inside(interval):
+    column, low, high = interval
+    c = F.col(column).cast("double")
+    return F.when((c > F.lit(low)) & (c < F.lit(high)), c)
+
+
+def _by_interval(brackets) -> dict[tuple, list[_Bracket]]:
+    groups = defaultdict(list)
     for b in brackets:
-        i = columns.index(b.column)
-        b.below += row[f"{i}_0"]
-        b.upto -= row[f"{i}_1"]
-        if b.rank < b.below:
-            b.value = -math.inf
-        elif b.rank >= b.upto:
-            b.value = math.inf
+        groups[b.interval].append(b)
+    return groups
 
 
-def _sketch(df, wide) -> list[list[float]]:
+def _settle(df, brackets, small) -> None:
+    """Find the value of every bracket."""
+    while True:
+        wide = [b for b in brackets if b.value is None and b.upto - b.below > small]
+        if not wide:
+            break
+        for column, counted in _count_around(df, _sketch(df, wide)).items():
+            for guess, less, not_more in counted:
+                for b in brackets:
+                    if b.column == column:
+                        b.narrow(guess, less, not_more)
+    groups = _by_interval(b for b in brackets if b.value is None)
+    if groups:
+        lists = df.agg(*[
+            F.array_sort(F.collect_list(_inside(interval))).alias(f"l{i}") for i, interval in enumerate(groups)
+        ])  # at most ``small`` values each
+        chosen = [(i, b) for i, group in enumerate(groups.values()) for b in group]
+        row = lists.select(*[F.element_at(f"l{i}", b.rank - b.below + 1) for i, b in chosen]).first()
+        for (_, b), value in zip(chosen, row):
+            b.value = value
+
+
+def _sketch(df, wide) -> dict[str, list[float]]:
+    """Guesses around the wanted ranks, per column. All brackets of one interval share a sketch."""
+    groups = _by_interval(wide)
     aggregates = []
-    for i, b in enumerate(wide):
-        centre = (b.rank - b.below + 0.5) / b.size
-        probs = sorted({min(1.0, max(0.0, centre + s * d)) for d in _GUESS_SPREAD for s in (-1, 1)})
+    for i, (interval, group) in enumerate(groups.items()):
+        centres = [(b.rank - b.below + 0.5) / (b.upto - b.below) for b in group]
+        probs = sorted({min(1.0, max(0.0, c + s * d)) for c in centres for d in _GUESS_SPREAD for s in (-1, 1)})
         grid = F.array(*[F.lit(p) for p in probs])
-        aggregates.append(F.percentile_approx(b.inside(), grid, _ACCURACY).alias(str(i)))
+        aggregates.append(F.percentile_approx(_inside(interval), grid, _SKETCH_ACCURACY).alias(str(i)))
     row = df.agg(*aggregates).first()
-    return [sorted(set(row[i])) for i in range(len(wide))]
+    guesses = defaultdict(set)
+    for i, (column, _, _) in enumerate(groups):
+        guesses[column].update(row[i])
+    return {c: sorted(v) for c, v in guesses.items()}
 
 
-def _narrow(df, wide, guesses) -> None:
-    aggregates = []
-    for i, (b, values) in enumerate(zip(wide, guesses)):
-        c = F.col(b.column).cast("double")
-        for j, v in enumerate(values):
-            aggregates.append(F.count_if(c < F.lit(v)).alias(f"lt_{i}_{j}"))
-            aggregates.append(F.count_if(c <= F.lit(v)).alias(f"le_{i}_{j}"))
-    row = df.agg(*aggregates).first()
-    for i, (b, values) in enumerate(zip(wide, guesses)):
-        for j, v in enumerate(values):
-            less, upto = row[f"lt_{i}_{j}"], row[f"le_{i}_{j}"]
-            if less <= b.rank < upto:
-                b.value = v
-            elif upto <= b.rank and upto > b.below:
-                b.low, b.below = v, upto
-            elif less > b.rank and less < b.upto:
-                b.high, b.upto = v, less
+def _count_around(df, guesses: dict[str, list[float]]) -> dict[str, list[tuple[float, int, int]]]:
+    """``(guess, rows below, rows not above)`` per column, in one scan.
+
+    A guess and the next larger double split off the rows that equal it.
+    """
+    columns = list(guesses)
+    splits = [
+        [-math.inf, *sorted({x for g in guesses[c] for x in (g, math.nextafter(g, math.inf))}), math.inf]
+        for c in columns
+    ]
+    names = [f"b{i}" for i in range(len(columns))]
+    numbered = Bucketizer(
+        splitsArray=splits, inputCols=[f"v{i}" for i in range(len(columns))], outputCols=names, handleInvalid="keep"
+    ).transform(df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]))
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(n).cast("int").alias("b")) for i, n in enumerate(names)])
+    counts = numbered.select(F.inline(cells)).groupBy("i", "b").agg(F.count(F.lit(1)).alias("n")).collect()
+    result = {}
+    for i, c in enumerate(columns):
+        held = [0] * len(splits[i])
+        for r in counts:
+            if r["i"] == i and r["b"] is not None:
+                held[r["b"]] = r["n"]
+        upto = dict(zip(splits[i][1:], accumulate(held)))  # rows below each split
+        result[c] = [(g, upto[g], upto[math.nextafter(g, math.inf)]) for g in guesses[c]]
+    return result
