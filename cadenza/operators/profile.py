@@ -185,10 +185,15 @@ def dataset_info(df: DataFrame, custom: bool = False) -> DataFrame:
 
 
 def group_shares(df: DataFrame, group: str, category: str) -> DataFrame:
-    """Rows per (group, category) and their percent of the group; NULL categories are not counted as rows."""
-    counts = df.filter(F.col(category).isNotNull()).groupBy(group, category).agg(F.count(F.lit(1)).alias("count"))
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows"))
-    return counts.join(sizes, group).withColumn("percent", F.col("count") * F.lit(100.0) / F.col("group_rows"))
+    """Rows per (group, category) and their percent of the group, one scan.
+
+    NULL categories are not listed, but their rows count as the group's.
+    """
+    counts = df.groupBy(group, category).agg(F.count(F.lit(1)).alias("count"))
+    sizes = counts.groupBy(group).agg(F.sum("count").alias("group_rows"))
+    return counts.filter(F.col(category).isNotNull()).join(sizes, group).withColumn(
+        "percent", F.col("count") * F.lit(100.0) / F.col("group_rows")
+    )
 
 
 def group_sizes(df: DataFrame, group: str) -> DataFrame:

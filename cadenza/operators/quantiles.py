@@ -62,9 +62,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    if (df.count() if rows is None else rows) <= small:
+    if rows is not None and rows <= small:
         return _direct(df, columns, probs)
-    return _large_quantiles(df, columns, probs, small)
+    return _bracketed(df, columns, probs, small)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], small: int = SMALL_COLUMN,
@@ -78,35 +78,34 @@ def _direct(df, columns, probs) -> dict[str, list[float | None]]:
     return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
 
 
-def _large_quantiles(df, columns, probs, small) -> dict[str, list[float | None]]:
-    infinite = [F.lit(-math.inf), F.lit(math.inf)]
-    sizes = df.agg(*[
+def _bracketed(df, columns, probs, small) -> dict[str, list[float | None]]:
+    grid = _grid(probs)
+    first = df.agg(*[
         f.alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (
-            ("n", F.count(c)), ("d", F.approx_count_distinct(c)),
-            ("low", F.count_if(F.col(c).cast("double") == infinite[0])),
-            ("high", F.count_if(F.col(c).cast("double") == infinite[1])),
+            ("n", F.count(c)),
+            ("low", F.count_if(F.col(c).cast("double") == F.lit(-math.inf))),
+            ("high", F.count_if(F.col(c).cast("double") == F.lit(math.inf))),
+            ("guess", F.percentile_approx(_inside((c, -math.inf, math.inf)), grid, _SKETCH_ACCURACY)),
         )
     ]).first()
-    few = [c for i, c in enumerate(columns) if sizes[f"d{i}"] * 1.2 <= small]
-    result = _direct(df, few, probs) if few else {}
+    size = {c: first[f"n{i}"] for i, c in enumerate(columns)}
+    if max(size.values()) <= small:
+        return _direct(df, columns, probs)
     brackets = {}
     for i, c in enumerate(columns):
-        if c in few:
-            continue
-        n, low, high = sizes[f"n{i}"], sizes[f"low{i}"], sizes[f"high{i}"]
-        for p in probs:
-            for r in _ranks(n, p):
-                edge = -math.inf if r < low else math.inf if r >= n - high else None
-                brackets[c, r] = _Bracket(c, r, -math.inf, math.inf, low, n - high, edge)
-    _settle(df, list(brackets.values()), small)
-    for i, c in enumerate(columns):
-        if c in few:
-            continue
-        result[c] = []
-        for p in probs:
-            lower, upper = (brackets[c, r].value for r in _ranks(sizes[f"n{i}"], p))
-            gap = (sizes[f"n{i}"] - 1) * p % 1
-            result[c].append(lower + (upper - lower) * gap if gap else lower)
+        low, high = first[f"low{i}"], size[c] - first[f"high{i}"]
+        for r in {r for p in probs for r in _ranks(size[c], p) if size[c]}:
+            infinite = -math.inf if r < low else math.inf if r >= high else None
+            brackets[c, r] = _Bracket(c, r, -math.inf, math.inf, low, high, infinite)
+    guesses = {c: sorted(set(first[f"guess{i}"])) for i, c in enumerate(columns) if first[f"guess{i}"]}
+    _settle(df, list(brackets.values()), guesses, small)
+    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for c, n in size.items():
+        for i, p in enumerate(probs):
+            if n:
+                lower, upper = (brackets[c, r].value for r in _ranks(n, p))
+                gap = (n - 1) * p % 1
+                result[c][i] = lower + (upper - lower) * gap if gap else lower
     return result
 
 
@@ -139,17 +138,23 @@ def _by_interval(brackets) -> dict[tuple, list[_Bracket]]:
     return groups
 
 
-def _settle(df, brackets, small) -> None:
-    """Find the value of every bracket."""
-    while True:
-        wide = [b for b in brackets if b.value is None and b.upto - b.below > small]
-        if not wide:
-            break
-        for column, counted in _count_around(df, _sketch(df, wide)).items():
+def _grid(centres):
+    """Probabilities close around the wanted ones."""
+    return F.array(*[
+        F.lit(p) for p in sorted({min(1.0, max(0.0, c + s * d)) for c in centres for d in _GUESS_SPREAD for s in (-1, 1)})
+    ])
+
+
+def _settle(df, brackets, guesses, small) -> None:
+    """Find the value of every bracket. A value that many rows share is found as soon as it is guessed."""
+    while guesses:
+        for column, counted in _count_around(df, guesses).items():
             for guess, less, not_more in counted:
                 for b in brackets:
                     if b.column == column:
                         b.narrow(guess, less, not_more)
+        wide = [b for b in brackets if b.value is None and b.upto - b.below > small]
+        guesses = _sketch(df, wide) if wide else {}
     groups = _by_interval(b for b in brackets if b.value is None)
     if groups:
         lists = df.agg(*[
@@ -166,9 +171,7 @@ def _sketch(df, wide) -> dict[str, list[float]]:
     groups = _by_interval(wide)
     aggregates = []
     for i, (interval, group) in enumerate(groups.items()):
-        centres = [(b.rank - b.below + 0.5) / (b.upto - b.below) for b in group]
-        probs = sorted({min(1.0, max(0.0, c + s * d)) for c in centres for d in _GUESS_SPREAD for s in (-1, 1)})
-        grid = F.array(*[F.lit(p) for p in probs])
+        grid = _grid([(b.rank - b.below + 0.5) / (b.upto - b.below) for b in group])
         aggregates.append(F.percentile_approx(_inside(interval), grid, _SKETCH_ACCURACY).alias(str(i)))
     row = df.agg(*aggregates).first()
     guesses = defaultdict(set)

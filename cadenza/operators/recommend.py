@@ -11,6 +11,7 @@ from cadenza.constants import CLUSTER_NAMES, SEED
 from cadenza.functions.scalar import digest, hash_bucket
 from cadenza.operators.sampling import seeded_sample
 from cadenza.operators.similar import nearest
+from cadenza.session import materialise
 
 # Interactions that count, how many are kept, how many are seeds.
 COUNTED_ACTIONS = ("click", "like")
@@ -53,31 +54,45 @@ def seed_tracks(events: DataFrame, n: int = SEED_INTERACTIONS, **columns) -> Dat
     return recent.select(F.col(user).alias("user"), F.col(item).alias("seed"), (-F.col("age")).alias("seed_position"))
 
 
-def neighbour_candidates(seeds: DataFrame, tracks: DataFrame, index: DataFrame, key: str, vector: str,
-                         neighbours: int = NEIGHBOURS_PER_SEED) -> DataFrame:
-    """Per user, the unseen neighbours of the seeds: first seed wins, then the closer neighbour.
+def neighbour_lists(seeds: DataFrame, tracks: DataFrame, index: DataFrame, key: str, vector: str,
+                    neighbours: int = NEIGHBOURS_PER_SEED) -> DataFrame:
+    """``(seed, neighbours)`` once per distinct seed track, whatever the number of users.
 
-    A neighbour list is computed once per distinct seed track, whatever the number of users, and
-    cut before seeds and absent tracks are removed.
+    A list is cut to its ``neighbours`` best before absent tracks are removed. It is stored, so the
+    planner knows its size when it chooses how to join it.
     """
-    known = tracks.select(F.col(key).alias("seed"), F.col(vector).alias("vector"))
-    wanted = known.join(seeds.select("seed").distinct(), "seed", "left_semi")
-    catalogue = index.select(F.col(key).alias("seed"), F.col(vector).alias("vector"))
-    lists = nearest(wanted, catalogue, neighbours, "seed", "vector")
-    lists = lists.groupBy(F.col("query_id").alias("seed")).agg(
-        F.collect_list(F.struct("rank", "id", "similarity")).alias("neighbours")
-    )
-    # A popular seed meets its one row of neighbours; AQE splits such a partition.
-    offered = seeds.join(lists, "seed").select(
-        "user", "seed_position", F.explode("neighbours").alias("n")
-    ).select("user", "seed_position", F.col("n.rank").alias("rank"), F.col("n.id").alias("id"),
-             F.col("n.similarity").alias("similarity"))
-    unseen = offered.join(
-        seeds.select("user", F.col("seed").alias("id")).distinct(), ["user", "id"], "left_anti"
+    known = tracks.select(F.col(key).alias("id"), F.col(vector).alias("vector"))
+    wanted = known.join(seeds.select(F.col("seed").alias("id")).distinct(), "id", "left_semi")
+    catalogue = index.select(F.col(key).alias("id"), F.col(vector).alias("vector"))
+    hits = nearest(wanted, catalogue, neighbours, "id", "vector")
+    if index is not tracks:
+        hits = hits.join(known.select("id"), "id", "left_semi")
+    hit = F.struct("rank", "id", "similarity")
+    lists = hits.groupBy(F.col("query_id").alias("seed")).agg(F.array_sort(F.collect_list(hit)).alias("neighbours"))
+    return materialise(lists, "neighbour-lists")
+
+
+def personal_lists(seeds: DataFrame, lists: DataFrame) -> DataFrame:
+    """``(user, hits)``: unseen neighbours of the user's seeds, the most similar first.
+
+    The first seed that offers a track wins, even if a later one is closer to it. A user has at most
+    seeds x neighbours offers, so each list stays small. A popular seed meets its one list row; AQE
+    splits such a partition.
+    """
+    offer = F.struct("seed_position", "seed", "neighbours")
+    users = seeds.join(lists, "seed", "left").groupBy("user").agg(F.array_sort(F.collect_list(offer)).alias("offers"))
+    seen = F.transform("offers", lambda o: o["seed"])
+    offered = F.flatten(F.transform("offers", lambda o: F.transform(
+        F.coalesce(o["neighbours"], F.array()),
+        lambda n: F.struct((-n["similarity"]).alias("order"), o["seed_position"].alias("seed_position"),
+                           n["rank"].alias("rank"), n["id"].alias("id"), n["similarity"].alias("similarity")),
+    )))
+    unseen = F.filter("offered", lambda n: ~F.array_contains(F.col("seen"), n["id"]))
+    first = F.filter("unseen", lambda n, i: F.array_position(F.transform("unseen", lambda m: m["id"]), n["id"]) == i + 1)
+    return (
+        users.withColumns({"seen": seen, "offered": offered}).withColumn("unseen", unseen)
+        .select("user", F.array_sort(first).alias("hits"))
     )
-    present = unseen.join(tracks.select(F.col(key).alias("id")), "id", "left_semi")
-    first = Window.partitionBy("user", "id").orderBy("seed_position", "rank")
-    return present.withColumn("_seen", F.row_number().over(first)).filter(F.col("_seen") == 1).drop("_seen")
 
 
 def recommend(events: DataFrame, tracks: DataFrame, limit: int = 20, index: DataFrame | None = None,
@@ -89,45 +104,31 @@ def recommend(events: DataFrame, tracks: DataFrame, limit: int = 20, index: Data
     A user with fewer than ``limit`` personal hits gets the popularity list instead, or with
     ``backfill`` the hits topped up from it. ``users`` adds users without interactions.
     """
-    seed_rows = seed_tracks(events, seeds, **columns)
-    hits = neighbour_candidates(seed_rows, tracks, tracks if index is None else index, key, vector, neighbours)
-    # A user has at most seeds * neighbours hits: a window per user is bounded.
-    best = Window.partitionBy("user").orderBy(F.desc("similarity"), "seed_position", "rank")
-    personal = hits.withColumns({
-        "position": F.row_number().over(best),
-        "hits": F.count(F.lit(1)).over(Window.partitionBy("user")),
-    }).filter(F.col("position") <= limit)
-    if not backfill:
-        personal = personal.filter(F.col("hits") >= limit)
-    personal = personal.select("user", "position", "id", "similarity", F.lit("similar").alias("source"))
-
-    everyone = seed_rows.select("user").distinct()
+    seed_rows = materialise(seed_tracks(events, seeds, **columns), "seeds")
+    lists = neighbour_lists(seed_rows, tracks, tracks if index is None else index, key, vector, neighbours)
+    personal = personal_lists(seed_rows, lists)
     if users is not None:
-        everyone = everyone.unionByName(users.select(F.col(users.columns[0]).alias("user"))).distinct()
-    if not backfill:
-        lacking = everyone.join(personal.select("user").distinct(), "user", "left_anti")
-        return personal.unionByName(_popular_for(lacking, tracks, limit, key, popularity))
-
-    # At most ``limit`` of the listed rows can be hits already, so 2 * limit are enough to top up.
-    offered = _popular_for(everyone, tracks, 2 * limit, key, popularity)
-    fresh = offered.join(personal.select("user", "id"), ["user", "id"], "left_anti")
-    both = personal.withColumn("_source", F.lit(0)).unionByName(fresh.withColumn("_source", F.lit(1)))
-    place = Window.partitionBy("user").orderBy("_source", "position")
-    return (
-        both.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= limit)
-        .select("user", F.col("_place").alias("position"), "id", "similarity", "source")
+        everyone = users.select(F.col(users.columns[0]).alias("user")).distinct()
+        personal = personal.join(everyone, "user", "full_outer")
+
+    # At most ``limit`` popular tracks can be hits already, so 2 * limit are enough to top up.
+    id_type = tracks.schema[key].dataType.simpleString()
+    top = [r[0] for r in popular(tracks, 2 * limit if backfill else limit, key, popularity).select(key).collect()]
+    listed = F.transform(
+        F.array(*[F.lit(i) for i in top]).cast(f"array<{id_type}>"),
+        lambda i: F.struct(i.alias("id"), F.lit(None).cast("double").alias("similarity"), F.lit("popular").alias("source")),
     )
-
-
-def _popular_for(users: DataFrame, tracks: DataFrame, limit: int, key: str, popularity) -> DataFrame:
-    """The same ``limit`` rows for each user: a literal list, exploded where the users are."""
-    top = [r[0] for r in popular(tracks, limit, key, popularity).select(key).collect()]  # ``limit`` ids
-    id_type = tracks.schema[key].dataType
-    ids = F.array(*[F.lit(i) for i in top]).cast(f"array<{id_type.simpleString()}>")
-    return users.select("user", F.posexplode(ids).alias("_at", "id")).select(
-        "user", (F.col("_at") + 1).alias("position"), "id",
-        F.lit(None).cast("double").alias("similarity"), F.lit("popular").alias("source"),
+    own = F.transform(
+        F.slice(F.coalesce("hits", F.array()), 1, limit),
+        lambda n: F.struct(n["id"].alias("id"), n["similarity"].alias("similarity"), F.lit("similar").alias("source")),
     )
+    if backfill:
+        fresh = F.filter(listed, lambda n: ~F.array_contains(F.transform("own", lambda m: m["id"]), n["id"]))
+        chosen = F.slice(F.concat("own", fresh), 1, limit)
+    else:
+        chosen = F.when(F.size("own") >= limit, F.col("own")).otherwise(listed)
+    shown = personal.withColumn("own", own).select("user", F.posexplode(chosen).alias("at", "n"))
+    return shown.select("user", (F.col("at") + 1).alias("position"), "n.id", "n.similarity", "n.source")
 
 
 def rule_cluster(columns: Sequence[str], energy: str = "energy", danceability: str = "danceability",

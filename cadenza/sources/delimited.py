@@ -56,10 +56,12 @@ def detect_delimiter(line: str, candidates: Sequence[str] = DELIMITERS) -> str:
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """UTF-8 unless some line is not valid UTF-8; zero bytes mean UTF-16."""
-    lines = spark.read.text(path)
-    if lines.filter(F.col("value").contains("\x00")).limit(1).count():
-        return "UTF-16"
-    return "windows-1252" if lines.filter(F.col("value").contains("\ufffd")).limit(1).count() else "UTF-8"
+    zero = F.col("value").contains("\x00")
+    odd = spark.read.text(path).filter(zero | F.col("value").contains("\ufffd")).select(zero.alias("zero")).limit(1)
+    found = odd.collect()
+    if not found:
+        return "UTF-8"
+    return "UTF-16" if found[0]["zero"] else "windows-1252"
 
 
 def check_upload(path: str) -> None:
