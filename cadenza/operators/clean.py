@@ -19,11 +19,14 @@ from cadenza.session import BROADCAST_ROWS
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with a NULL in any of the columns. An absent column is an error."""
+    """Drop rows with a NULL or NaN in any of the columns. An absent column is an error."""
     absent = [c for c in columns if c not in df.columns]
     if absent:
         raise ValueError(f"columns not found: {absent}")
-    return df.na.drop(subset=list(columns))
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    for c in columns:  # plain predicates, which the scan can use
+        df = df.filter(F.col(c).isNotNull() & ~F.isnan(c) if c in floating else F.col(c).isNotNull())
+    return df
 
 
 def exclude_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

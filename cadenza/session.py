@@ -29,7 +29,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     A temporary folder stands in only when the setting is absent and Spark runs in one process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

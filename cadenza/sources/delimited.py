@@ -55,13 +55,13 @@ def detect_delimiter(line: str, candidates: Sequence[str] = DELIMITERS) -> str:
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line is not valid UTF-8; zero bytes mean UTF-16."""
+    """UTF-8 unless some line is not valid UTF-8, then Latin-1; zero bytes mean UTF-16. One scan."""
     zero = F.col("value").contains("\x00")
-    odd = spark.read.text(path).filter(zero | F.col("value").contains("\ufffd")).select(zero.alias("zero")).limit(1)
+    odd = spark.read.text(path).filter(zero | ~F.is_valid_utf8("value")).select(zero.alias("zero")).limit(1)
     found = odd.collect()
     if not found:
         return "UTF-8"
-    return "UTF-16" if found[0]["zero"] else "windows-1252"
+    return "UTF-16" if found[0]["zero"] else "ISO-8859-1"
 
 
 def check_upload(path: str) -> None:
