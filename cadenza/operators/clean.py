@@ -147,8 +147,9 @@ def lookup(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
 
 
 def not_found(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Requested ids that the table does not have."""
-    return ids.select(key).distinct().join(df.select(key), key, "left_anti")
+    """Requested ids that the table does not have. The table is cut to the ids first."""
+    wanted = ids.select(key).distinct()
+    return wanted.join(lookup(df.select(key), key, ids), key, "left_anti")
 
 
 def top_rows(df: DataFrame, order: Sequence[Column | str], limit: int, where: Column | None = None) -> DataFrame:

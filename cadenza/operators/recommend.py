@@ -163,9 +163,12 @@ def browse_clusters(tracks: DataFrame, limit: int = 15, sample: int = 500, key:
 
 def named_output(hits: DataFrame, tracks: DataFrame, key: str = "track_id", names: Sequence[str] = ("track_name", "title"),
                  artists: Sequence[str] = ("artist_name", "artists"), unknown: str = "Unknown") -> DataFrame:
-    """Similar-track rows as shown to users: id, name, artist, similarity, with name fallbacks."""
+    """Similar-track rows as shown to users: id, name, artist, similarity, with name fallbacks.
+
+    The hits are stored first: the search runs once, and the planner knows how small they are.
+    """
     def first_of(options):
         return F.coalesce(*[F.col(c) for c in options if c in tracks.columns], F.lit(unknown))
 
     shown = tracks.select(F.col(key).alias("id"), first_of(names).alias("track_name"), first_of(artists).alias("artist_name"))
-    return hits.join(shown, "id").withColumnRenamed("id", key)
+    return materialise(hits, "hits").join(shown, "id").withColumnRenamed("id", key)

@@ -18,14 +18,34 @@ from cadenza.functions.scalar import digest, row_digest
 from cadenza.session import small_side
 
 _BUCKET_DIGITS = 4  # 65,536 buckets
+LARGE_TABLE = 10_000_000
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: the first in hash order. Each task keeps at most ``n``."""
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = SEED, large: int = LARGE_TABLE) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows: the first in hash order.
+
+    Each task keeps at most ``n`` rows and one task merges them. With the thousands of tasks of a
+    large table that merge would be slow, so there the bucket counts first tell how far in hash
+    order to look, and only those rows are sorted.
+    """
     order = digest(key, seed)
+    if df.count() > large:
+        edge = _edge_bucket(df.select(order.alias("_digest")), n)
+        if edge is not None:
+            df = df.filter(F.substring(order, 1, _BUCKET_DIGITS) <= F.lit(edge["_bucket"]))
     return df.orderBy(order, F.col(key)).limit(n)
 
 
+def _edge_bucket(hashed: DataFrame, place: int):
+    """The bucket ``(_bucket, _n, _upto)`` that holds the row at ``place`` (1-based) in hash order."""
+    buckets = hashed.groupBy(F.substring("_digest", 1, _BUCKET_DIGITS).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    # At most 16**_BUCKET_DIGITS rows, whatever the table's size.
+    running = buckets.withColumn("_upto", F.sum("_n").over(Window.orderBy("_bucket")))
+    return running.filter(F.col("_upto") >= place).orderBy("_bucket").first()
+
+
 def shuffle(df: DataFrame, key: str, seed: int = SEED, position: str = "position") -> DataFrame:
     """Number all rows 1..n in hash order."""
     hashed = df.withColumn("_digest", digest(key, seed))
@@ -78,19 +98,14 @@ def split_random(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION,
                  flag: str = "is_test") -> DataFrame:
     """Mark exactly ``ceil(test_fraction * rows)`` rows as test: those first in hash order.
 
-    Two aggregations find the hash of the last test row; marking the rows is then a plain filter
-    expression without a shuffle. ``key`` must be unique.
+    Bucket counts and one bucket's rows give the hash of the last test row; marking the rows is then
+    a plain expression without a shuffle. ``key`` must be unique.
     """
     hashed = df.withColumn("_digest", digest(key, seed))
-    buckets = hashed.groupBy(F.substring("_digest", 1, _BUCKET_DIGITS).alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    running = buckets.withColumn("_upto", F.sum("_n").over(Window.orderBy("_bucket")))
-    total = running.agg(F.max("_upto")).first()[0] or 0
-    wanted = math.ceil(test_fraction * total)
+    wanted = math.ceil(test_fraction * df.count())
     if wanted == 0:
         return df.withColumn(flag, F.lit(False))
-    edge = running.filter(F.col("_upto") >= wanted).orderBy("_bucket").first()
+    edge = _edge_bucket(hashed, wanted)
     rank = wanted - (edge["_upto"] - edge["_n"])
     last = (
         hashed.filter(F.col("_digest").startswith(edge["_bucket"]))

@@ -185,8 +185,9 @@ def _by_cells(q: DataFrame, c: DataFrame, k: int, exclude_self: bool) -> DataFra
     # Equal vectors have equal neighbours, and only the first ``places`` ids of a group of equal
     # vectors can ever be neighbours. So copies are cut before anything is compared.
     by_vector = Window.partitionBy("vector").orderBy("id")
-    distinct_c = (
-        c.withColumn("copy", F.row_number().over(by_vector)).filter(F.col("copy") <= places).drop("copy")
+    distinct_c = materialise(
+        c.withColumn("copy", F.row_number().over(by_vector)).filter(F.col("copy") <= places).drop("copy"),
+        "neighbour-catalogue",
     )
     distinct_q = q.groupBy("vector").agg(F.min("id").alias("id"))
 
@@ -338,9 +339,12 @@ def _compare(visits: DataFrame, placed: DataFrame, blocks: dict[int, int], id_ty
 
 def similar_tracks(ids: DataFrame, index: DataFrame, info: DataFrame, k: int = 10,
                    id_col: str = "track_id", vector: str = "vector") -> DataFrame:
-    """The ``k`` most similar tracks of each requested track, with the columns of ``info``."""
+    """The ``k`` most similar tracks of each requested track, with the columns of ``info``.
+
+    The hits are stored first: the search runs once, and the planner knows how small they are.
+    """
     queries = index.join(ids.select(id_col).distinct(), id_col, "left_semi")
-    hits = nearest(queries, index, k, id_col, vector)
+    hits = materialise(nearest(queries, index, k, id_col, vector), "hits")
     return hits.withColumnRenamed("id", id_col).join(info, id_col).withColumnRenamed(
         "similarity", "similarity_score"
     )

@@ -20,6 +20,14 @@ def test_sample_is_exact_and_ignores_partitioning(spark):
     for df in (a, b):
         assert [r["id"] for r in sampling.seeded_sample(df, "id", 37).collect()] == want
     assert sampling.seeded_sample(a, "id", 5000).count() == 1000
+    for n, rows in ((37, want), (1000, order(range(1000))), (5000, order(range(1000)))):
+        assert [r["id"] for r in sampling.seeded_sample(a, "id", n, large=10).collect()] == rows
+
+
+def test_sample_of_repeated_keys(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("id"))  # three digests, a hundred rows each
+    got = [r["id"] for r in sampling.seeded_sample(df, "id", 150, large=10).collect()]
+    assert got == [k for k in order(range(3)) for _ in range(100)][:150]
 
 
 def test_shuffle_numbers_every_row_once(spark):
