@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_COLUMN = 200_000
+SMALL_COLUMN = 100_000
 _GUESS_SPREAD = (0.0, 0.001, 0.01)
 _SKETCH_ACCURACY = 2_000
 _ACCURACY = 10_000

@@ -212,8 +212,8 @@ def dedupe_keep_first(spark, folder):
 
 @query("""
     SELECT l_orderkey, l_partkey,
-           round((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 6) AS l_quantity,
-           round((l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER (), 6) AS l_extendedprice,
+           round((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 6) + 0.0 AS l_quantity,
+           round((l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER (), 6) + 0.0 AS l_extendedprice,
            0.0::DOUBLE AS fixed
     FROM lineitem
 """)
