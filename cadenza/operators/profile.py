@@ -159,7 +159,7 @@ def _comparable(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicate_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct rows and copies after the first. Rows travel as 32-byte digests, counted before the shuffle."""
     columns = list(columns or df.columns)
-    groups = _comparable(df, columns).groupBy(row_digest(columns).alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    groups = _comparable(df, columns).groupBy(F.unhex(row_digest(columns)).alias("row")).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

@@ -27,7 +27,9 @@ from cadenza.operators.sampling import seeded_sample
 from cadenza.session import materialise
 
 DIGITS = 9
-SMALL_ROWS = 4096
+SMALL_CATALOGUE = 32_768
+SMALL_QUERIES = 4_096
+_SMALL_VALUES = 8_000_000  # 64 MB of doubles
 _BLOCK_ROWS = 20_000
 _NO_PAIR = -9.0
 
@@ -82,13 +84,28 @@ def _narrow(df: DataFrame, id_col: str, vector: str) -> DataFrame:
     return narrow.filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
 
 
+def _pack(matrix) -> list[bytes]:
+    """Rows as bytes: much cheaper to move between Spark and numpy than arrays."""
+    return [row.tobytes() for row in matrix]
+
+
+def _unpack(packed):
+    import numpy as np
+
+    return np.frombuffer(b"".join(packed), dtype=float).reshape(len(packed), -1)
+
+
 def _bounded(df: DataFrame, limit: int):
     """Ids and unit vectors of a table of at most ``limit`` rows, else None."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = df.limit(limit + 1).toArrow()
+    n = rows.num_rows
+    ids = rows["id"].to_pandas().to_numpy()
+    if n == 0:
+        return ids, np.zeros((0, 1))
+    vectors = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    if n > limit or len(vectors) > _SMALL_VALUES:
         return None
-    ids = np.array([r["id"] for r in rows]) if rows else np.array([])
-    return ids, unit_rows([r["vector"] for r in rows]) if rows else np.zeros((0, 1))
+    return ids, unit_rows(vectors.reshape(n, -1))
 
 
 def _id_type(df: DataFrame) -> str:
@@ -102,22 +119,23 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
 
 def nearest(queries: DataFrame, catalogue: DataFrame, k: int, id_col: str = "track_id",
             vector: str = "vector", exclude_self: bool = True, strategy: str | None = None,
-            small_rows: int = SMALL_ROWS) -> DataFrame:
+            small_rows: int | None = None) -> DataFrame:
     """The ``k`` most similar catalogue rows of every query: ``(query_id, id, similarity, rank)``.
 
-    Ids must be unique on both sides. ``strategy`` forces ``"catalogue"``, ``"queries"`` or ``"cells"``.
+    Ids must be unique on both sides. ``strategy`` forces ``"catalogue"``, ``"queries"`` or ``"cells"``;
+    ``small_rows`` replaces the bounds up to which a side counts as small.
     """
     q, c = _narrow(queries, id_col, vector), _narrow(catalogue, id_col, vector)
     if strategy in (None, "catalogue"):
-        small = _bounded(c, small_rows)
+        small = _bounded(c, small_rows or SMALL_CATALOGUE)
         if small is not None:
             return _small_catalogue(q, small, k, exclude_self)
     if strategy in (None, "queries"):
-        small = _bounded(q, small_rows)
+        small = _bounded(q, small_rows or SMALL_QUERIES)
         if small is not None:
             return _small_queries(c, small, k, exclude_self)
     if strategy in ("catalogue", "queries"):
-        raise ValueError(f"more than {small_rows} rows on the {strategy} side")
+        raise ValueError(f"too many rows on the {strategy} side")
     return _by_cells(q, c, k, exclude_self)
 
 
@@ -234,8 +252,8 @@ class _Cells:
         self.shared = c.sparkSession.sparkContext.broadcast(self.pivots)
 
     def place(self, c: DataFrame) -> DataFrame:
-        """``(id, vector, cell, distance)`` with unit vectors."""
-        shared, units = self.shared, unit_rows
+        """``(id, vector, cell, distance)`` with packed unit vectors."""
+        shared, units, pack = self.shared, unit_rows, _pack
 
         def assign(batches):
             import numpy as np
@@ -251,11 +269,11 @@ class _Cells:
                 ])
                 gap = vectors - pivots[cell]
                 yield pd.DataFrame({
-                    "id": batch["id"], "vector": list(vectors), "cell": cell.astype(np.int32),
+                    "id": batch["id"], "vector": pack(vectors), "cell": cell.astype(np.int32),
                     "distance": np.sqrt((gap * gap).sum(axis=1)),
                 })
 
-        return c.mapInPandas(assign, f"id {_id_type(c)}, vector array<double>, cell int, distance double")
+        return c.mapInPandas(assign, f"id {_id_type(c)}, vector binary, cell int, distance double")
 
     def visits(self, queries: DataFrame, stats, places: int, floor: str | None) -> DataFrame:
         """``(id, vector, cell)``: the cells a query must be compared with.
@@ -263,7 +281,7 @@ class _Cells:
         Without ``floor``: the nearest cells that together hold ``places`` rows. With it: every cell
         whose best possible similarity reaches the query's floor.
         """
-        shared, units = self.shared, unit_rows
+        shared, units, pack = self.shared, unit_rows, _pack
         n_pivots = len(self.pivots)
         sizes = np.array([stats[i]["n"] if i in stats else 0 for i in range(n_pivots)])
         radius = np.array([stats[i]["radius"] if i in stats else 0.0 for i in range(n_pivots)])
@@ -287,11 +305,11 @@ class _Cells:
                         least = batch[floor].to_numpy()[:, None] - 1e-8
                         rows, cell = np.nonzero((likeness + radius >= least) & (sizes > 0))
                     yield pd.DataFrame({
-                        "id": batch["id"].to_numpy()[rows], "vector": list(vectors[rows]),
+                        "id": batch["id"].to_numpy()[rows], "vector": np.array(pack(vectors), dtype=object)[rows],
                         "cell": cell.astype(np.int32),
                     })
 
-        return queries.mapInPandas(choose, f"id {_id_type(queries)}, vector array<double>, cell int")
+        return queries.mapInPandas(choose, f"id {_id_type(queries)}, vector binary, cell int")
 
 
 def _compare(visits: DataFrame, placed: DataFrame, blocks: dict[int, int], id_type: str, k: int,
@@ -301,7 +319,7 @@ def _compare(visits: DataFrame, placed: DataFrame, blocks: dict[int, int], id_ty
     A cell much visited is compared in several shares, each with a bounded part of the queries and
     its own copy of the block.
     """
-    digits, top_pairs = DIGITS, _top_pairs
+    digits, top_pairs, unpack = DIGITS, _top_pairs, _unpack
     visited = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per pivot
     plan = F.broadcast(placed.sparkSession.createDataFrame(
         [(r["cell"], blocks[r["cell"]], math.ceil(r["n"] / _BLOCK_ROWS)) for r in visited],
@@ -317,14 +335,13 @@ def _compare(visits: DataFrame, placed: DataFrame, blocks: dict[int, int], id_ty
     askers = askers.withColumn("block", F.lit(0) if first_block else all_blocks)
 
     def score(left, right):
-        import numpy as np
         import pandas as pd
 
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": left["id"][:0], "id": right["id"][:0], "similarity": []})
         a, b, s = top_pairs(
-            left["id"].to_numpy(), np.array(left["vector"].tolist()), right["id"].to_numpy(),
-            np.array(right["vector"].tolist()), k, False, digits,
+            left["id"].to_numpy(), unpack(left["vector"].tolist()), right["id"].to_numpy(),
+            unpack(right["vector"].tolist()), k, False, digits,
         )
         return pd.DataFrame({"query_id": a, "id": b, "similarity": s})
 
@@ -376,7 +393,7 @@ def fallback_neighbours(queries: DataFrame, catalogue: DataFrame, k: int, id_col
                         vector: str = "vector", sample: int = 2000, seed: int = SEED) -> DataFrame:
     """Neighbours among a seeded sample of the catalogue: the second choice of the similar-tracks page."""
     picked = seeded_sample(catalogue.select(id_col, vector), id_col, sample, seed)
-    return nearest(queries, picked, k, id_col, vector, strategy="catalogue", small_rows=max(sample, SMALL_ROWS))
+    return nearest(queries, picked, k, id_col, vector, strategy="catalogue", small_rows=sample)
 
 
 def raw_vector(columns, loudness: str | None = "loudness"):

@@ -101,12 +101,12 @@ def sql_with_bound_args(spark, folder):
     )
 
 
-@query("SELECT p_partkey::VARCHAR AS p_partkey, p_name FROM part ORDER BY part.p_partkey LIMIT 5")
+@query("SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 5")
 def first_rows_of_file(spark, folder):
-    part = table(spark, folder, "part").select("p_partkey", "p_name").orderBy("p_partkey")
+    part = table(spark, folder, "part").select("p_partkey", "p_name")
     path = scratch_dir(spark, "peek")
     write_csv(part, path)
-    return peek(spark, path, 5)
+    return peek(spark, path, 5, order=["p_partkey"], schema=part.schema)
 
 
 @query("""

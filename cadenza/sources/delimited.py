@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.constants import COLUMN_ALIASES, CORE_FEATURES
+from cadenza.constants import CORE_FEATURES
 from cadenza.functions.names import borrow_id_column, clean_names, clean_upload_names, rename_aliases
 from cadenza.functions.scalar import last_path_segment, normalize_loudness
 from cadenza.operators.clean import coerce_and_fill, first_per_key
@@ -37,8 +37,10 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error") ->
     df.write.mode(mode).option("header", True).option("sep", sep).option("escape", '"').csv(path)
 
 
-def peek(spark: SparkSession, path: str, rows: int = 5, **options) -> DataFrame:
-    return read_csv(spark, path, **options).limit(rows)
+def peek(spark: SparkSession, path: str, rows: int = 5, order: Sequence[str] = (), **options) -> DataFrame:
+    """A few rows: any, or the first in ``order``."""
+    df = read_csv(spark, path, **options)
+    return (df.orderBy(*order) if order else df).limit(rows)
 
 
 def header_line(spark: SparkSession, path: str) -> str:
@@ -83,8 +85,7 @@ def clean_upload(raw: DataFrame, numeric: Sequence[str] = CORE_FEATURES, order:
 
     Without any id-like column rows are numbered ``custom_0 …`` by the hash of their content.
     """
-    aliases = {**COLUMN_ALIASES, "song_url": "song_url"}
-    df = rename_aliases(clean_upload_names(raw), aliases)
+    df = rename_aliases(clean_upload_names(raw))
     if "track_id" not in df.columns:
         borrowed = borrow_id_column(df)
         if borrowed is not None:
