@@ -79,13 +79,6 @@ def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.withColumns(filled)
 
 
-def mean_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    if not columns:
-        return {}
-    row = df.agg(*[F.avg(c).alias(str(i)) for i, c in enumerate(columns)]).first()
-    return {c: row[i] for i, c in enumerate(columns)}
-
-
 def mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """One row per column reaches the driver."""
     if not columns:
@@ -95,14 +88,30 @@ def mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     return {c: found.get(c) for c in columns}
 
 
-def median_values(df: DataFrame, columns: Sequence[str], exact: bool = True) -> dict[str, float | None]:
-    return exact_medians(df, columns) if exact else approximate_medians(df, columns)
+def median_values(df: DataFrame, columns: Sequence[str], exact: bool = True,
+                  rows: int | None = None) -> dict[str, float | None]:
+    return exact_medians(df, columns, rows=rows) if exact else approximate_medians(df, columns)
+
+
+def gap_columns(df: DataFrame, columns: Sequence[str], mean: Sequence[str] = ()) -> tuple[int, list[str], dict]:
+    """Row count, the columns that have NULLs, and the means of some: one scan."""
+    if not columns:
+        return 0, [], {}
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(columns)],
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(mean)],
+    ).first()
+    gaps = [c for i, c in enumerate(columns) if row[f"c{i}"] < row["n"]]
+    return row["n"], gaps, {c: row[f"m{i}"] for i, c in enumerate(mean)}
 
 
 def fill_missing(df: DataFrame, mean: Sequence[str] = (), mode: Sequence[str] = (),
                  median: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """Fill each group of columns with its own statistic, computed over ``df``."""
-    values = mean_values(df, mean) | mode_values(df, mode) | median_values(df, median, exact)
+    """Fill each group of columns with its own statistic, computed over ``df`` for the columns that need it."""
+    rows, gaps, means = gap_columns(df, [*mean, *mode, *median], mean)
+    values = {c: m for c, m in means.items() if c in gaps}
+    values |= mode_values(df, [c for c in mode if c in gaps])
+    values |= median_values(df, [c for c in median if c in gaps], exact, rows)
     return fill(df, values)
 
 
@@ -123,7 +132,8 @@ def coerce_and_fill(df: DataFrame, columns: Sequence[str], empty: float | None =
     """Text to numbers, gaps to the column median; ``empty`` where a column has no numbers at all."""
     present = [c for c in columns if c in df.columns]
     numbers = df.withColumns({c: to_number(F.col(c)) for c in present})
-    medians = median_values(numbers, present, exact)
+    rows, gaps, _ = gap_columns(numbers, present)
+    medians = median_values(numbers, gaps, exact, rows)
     return fill(numbers, {c: empty if m is None else m for c, m in medians.items()})
 
 

@@ -137,7 +137,7 @@ def train_classifier(df: DataFrame, target: str, key: str, features: Mapping[str
     forest = RandomForestClassifier(
         labelCol="_label", featuresCol="_features", predictionCol="_prediction", rawPredictionCol="_raw",
         probabilityCol="_probability", numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed,
-        maxMemoryInMB=1024,
+        maxMemoryInMB=1024, cacheNodeIds=True,
     )
     with _prepared(train, features, label="_label_text") as (stages, vectors):
         indexed = indexer.fit(vectors)
@@ -157,7 +157,7 @@ def train_regressor(df: DataFrame, target: str, key: str, features: Mapping[str,
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     forest = RandomForestRegressor(
         labelCol="_label", featuresCol="_features", predictionCol="predicted", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="all", seed=seed, maxMemoryInMB=1024,
+        featureSubsetStrategy="all", seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
     )
     with _prepared(train, features, label="_label") as (stages, vectors):
         fitted = forest.fit(vectors)
