@@ -31,7 +31,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cadenza-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
