@@ -26,7 +26,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MIN_SCORE = -0.1
+MIN_SCORE = -0.05
 
 
 def word_list(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import stored
 from cadenza.llm.mixing import mix_counts
+from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,10 @@ def op2_mixing(spark, folder):
     """Words that the mix takes of every document; weights 5, 2, 1 in turn, at most three times a source."""
     return mix_counts(table(spark, folder, "documents"), store=lambda df: stored(df, "mix-rows")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op4_quality_rules(spark, folder):
+    """Base counts of every document and the verdict of the likelihood ratio against documents labelled good."""
+    trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return judge(table(spark, folder, "documents"), trusted)
