@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.llm.classifier import classify
 from cadenza.llm.common import stored
 from cadenza.llm.mixing import mix_counts
 from cadenza.llm.quality_rules import judge
@@ -45,3 +46,9 @@ def op4_quality_rules(spark, folder):
     """Base counts of every document and the verdict of the likelihood ratio against documents labelled good."""
     trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
     return judge(table(spark, folder, "documents"), trusted)
+
+
+@query
+def op9_quality_classifier(spark, folder):
+    """Quality score of every document; a third of the labels is held out."""
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
