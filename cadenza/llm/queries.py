@@ -12,6 +12,8 @@ from cadenza.llm.common import stored
 from cadenza.llm.mixing import mix_counts
 from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
+from cadenza.llm.warc import payload_report, read_archives, write_archives
+from cadenza.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +54,11 @@ def op4_quality_rules(spark, folder):
 def op9_quality_classifier(spark, folder):
     """Quality score of every document; a third of the labels is held out."""
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_warc(spark, folder):
+    """Pages written as WARC archives and read back: size, digest and kind of every record."""
+    path = scratch_dir(spark, "warc")
+    write_archives(table(spark, folder, "pages"), path)
+    return payload_report(read_archives(spark, path))
