@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from cadenza.llm.classifier import classify
 from cadenza.llm.common import stored
 from cadenza.llm.mixing import mix_counts
+from cadenza.llm.packing import pack_documents
 from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
 from cadenza.llm.warc import payload_report, read_archives, write_archives
 from cadenza.session import scratch_dir
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -28,6 +31,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_sharding(spark, folder):
     """Every document in one of eight shards of near equal bytes; equal texts stay together."""
@@ -50,6 +59,12 @@ def op4_quality_rules(spark, folder):
     return judge(table(spark, folder, "documents"), trusted)
 
 
+@query
+def op7_packing(spark, folder):
+    """Every document's tokens in sequences of 2048."""
+    return pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
 @query
 def op9_quality_classifier(spark, folder):
     """Quality score of every document; a third of the labels is held out."""
