@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.classifier import classify
 from cadenza.llm.common import stored
 from cadenza.llm.mixing import mix_counts
+from cadenza.llm.near_duplicates import classes, report
 from cadenza.llm.packing import pack_documents
 from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
@@ -65,6 +66,12 @@ def op7_packing(spark, folder):
     return pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+@query
+def op8_near_duplicates(spark, folder):
+    """Class of near-equal documents that every document belongs to, and its links."""
+    return report(stored(classes(table(spark, folder, "documents")), "near-classes"))
+
+
 @query
 def op9_quality_classifier(spark, folder):
     """Quality score of every document; a third of the labels is held out."""
