@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.classifier import classify
 from cadenza.llm.common import stored
+from cadenza.llm.line_dedup import line_classes
 from cadenza.llm.mixing import mix_counts
 from cadenza.llm.near_duplicates import classes, report
 from cadenza.llm.packing import pack_documents
@@ -53,6 +54,12 @@ def op2_mixing(spark, folder):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_line_dedup(spark, folder):
+    """Class of near-equal lines that every line belongs to, its links, and whether it is the first of its class."""
+    return line_classes(table(spark, folder, "documents")).drop("row")
+
+
 @query
 def op4_quality_rules(spark, folder):
     """Base counts of every document and the verdict of the likelihood ratio against documents labelled good."""
