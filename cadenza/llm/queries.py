@@ -12,6 +12,7 @@ from cadenza.llm.common import stored
 from cadenza.llm.line_dedup import line_classes
 from cadenza.llm.mixing import mix_counts
 from cadenza.llm.near_duplicates import classes, report
+from cadenza.llm.neighbours import nearest
 from cadenza.llm.packing import pack_documents
 from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
@@ -67,6 +68,12 @@ def op4_quality_rules(spark, folder):
     return judge(table(spark, folder, "documents"), trusted)
 
 
+@query
+def op5_neighbours(spark, folder):
+    """Twenty nearest vectors by inner product of every twentieth vector."""
+    return nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 @query
 def op7_packing(spark, folder):
     """Every document's tokens in sequences of 2048."""
