@@ -16,6 +16,7 @@ from cadenza.llm.neighbours import nearest
 from cadenza.llm.packing import pack_documents
 from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
+from cadenza.llm.token_counts import count_tokens
 from cadenza.llm.warc import payload_report, read_archives, write_archives
 from cadenza.session import scratch_dir
 
@@ -74,6 +75,12 @@ def op5_neighbours(spark, folder):
     return nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, 20)
 
 
+@query
+def op6_token_counts(spark, folder):
+    """Tokens of every line of every document; a token that crosses a line's end belongs to the line it begins in."""
+    return count_tokens(table(spark, folder, "documents"), tokenizer_path())
+
+
 @query
 def op7_packing(spark, folder):
     """Every document's tokens in sequences of 2048."""
