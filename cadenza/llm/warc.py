@@ -3,12 +3,13 @@
 Writing: a page becomes an HTTP response in chunked transfer framing, inside a WARC record. Blocks above
 ``SEGMENT_BYTES`` are cut into a first record and continuation records, which may land in other archives. Of records
 with equal payloads of at least ``MIN_REVISIT_BYTES`` the one with the largest id stays a response, the others become
-revisit records without payload. Archives are plain text files written by Spark (records end with two line ends, which
-is the separator between lines here), so they go wherever Spark writes; each holds about ``ARCHIVE_BYTES``.
+revisit records without payload. Archives are compressed text files written by Spark (records end with two line ends,
+which is the separator between lines here), so they go wherever Spark writes. Each holds at most ``ARCHIVE_RECORDS``
+records of bounded size; nothing is shuffled to write them.
 
 Reading: archives are parsed file by file; continuation records are grouped by origin id, ordered by segment number and
 joined; missing segments, a wrong total length or a wrong digest raise an error that names the record. Then the chunked
-framing is removed. A group is one record, so it is as large as one page and no larger.
+framing is removed. Only segmented records are shuffled. A group is one record, so it is as large as one page and no larger.
 
 Defined results: NULL html is an empty payload, NULL url and NULL id leave their header out. Empty payloads are responses
 with 0 bytes. Of repeated rows with the largest id, one stays the response (a row number decides). An empty table gives
@@ -17,6 +18,7 @@ one empty archive and no records. Extra columns are not written.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -30,7 +32,7 @@ from cadenza.llm.common import checked_broadcast, narrow, stored
 MIN_REVISIT_BYTES = 1000
 CHUNK_BYTES = 4096
 SEGMENT_BYTES = 8192
-ARCHIVE_BYTES = 8 << 20
+ARCHIVE_RECORDS = 4096
 RECORD_DATE = "2024-01-01T00:00:00Z"
 RECORD_END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -76,7 +78,7 @@ def record(fields: dict, block: bytes) -> str:
 
 
 def to_records(segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES):
-    """A function for ``mapInPandas``: pages become record texts; ``row`` and ``segment`` deal them to archives."""
+    """A function for ``mapInPandas``: pages become record texts."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -88,44 +90,51 @@ def to_records(segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTE
                 first = {"WARC-Record-ID": record_id(p.row), **common, "Content-Type": "application/http;msgtype=response",
                          "WARC-Payload-Digest": f"sha1:{p.digest}"}
                 if not pd.isna(p.refers_row):
-                    out.append((p.row, 1, record(
+                    out.append(record(
                         {"WARC-Type": "revisit", **first, "WARC-Profile": REVISIT_PROFILE,
-                         "WARC-Refers-To": record_id(int(p.refers_row))}, HTTP_HEAD)))
+                         "WARC-Refers-To": record_id(int(p.refers_row))}, HTTP_HEAD))
                     continue
                 block = HTTP_HEAD + chunked(p.payload, chunk_bytes)
                 parts = cut(block, segment_bytes)
                 if len(parts) == 1:
-                    out.append((p.row, 1, record({"WARC-Type": "response", **first}, block)))
+                    out.append(record({"WARC-Type": "response", **first}, block))
                     continue
-                out.append((p.row, 1, record({"WARC-Type": "response", **first, "WARC-Segment-Number": 1}, parts[0])))
+                out.append(record({"WARC-Type": "response", **first, "WARC-Segment-Number": 1}, parts[0]))
                 for k, part in enumerate(parts[1:], 2):
-                    out.append((p.row, k, record({
+                    out.append(record({
                         "WARC-Type": "continuation", "WARC-Record-ID": record_id(p.row, k), **common,
                         "WARC-Segment-Origin-ID": record_id(p.row), "WARC-Segment-Number": k,
-                        "WARC-Segment-Total-Length": len(block) if k == len(parts) else None}, part)))
-            yield pd.DataFrame(out, columns=["row", "segment", "value"])
+                        "WARC-Segment-Total-Length": len(block) if k == len(parts) else None}, part))
+                if len(out) >= 1000:
+                    yield pd.DataFrame({"value": out})
+                    out = []
+            yield pd.DataFrame({"value": out})
 
     return write
 
 
 def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html",
                    min_revisit_bytes: int = MIN_REVISIT_BYTES, segment_bytes: int = SEGMENT_BYTES,
-                   archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write every page as WARC records into new text files under ``path``."""
+                   archive_records: int = ARCHIVE_RECORDS) -> None:
+    """Write every page as WARC records into new files under ``path``.
+
+    ``pages`` is read twice, first for sizes and digests only, and must give the same rows in the same partitions, as a
+    stored table does.
+    """
     read = narrow(pages, page_id=id, url=url, html=html).select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-        F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"), F.monotonically_increasing_id().alias("row"))
-    rows = stored(read.withColumns({"digest": F.sha1("payload"), "bytes": F.octet_length("payload")}), "warc-pages")
-    copied = stored(rows.filter(F.col("bytes") >= min_revisit_bytes).groupBy("digest").agg(
-        F.count("*").alias("n"), F.max(F.struct("page_id", "row")).alias("top")).filter("n > 1").select(
-        "digest", F.col("top.row").alias("top_row")), "warc-copied")
-    decided = rows.join(checked_broadcast(copied), "digest", "left").withColumn(
-        "refers_row", F.when(F.col("top_row") != F.col("row"), F.col("top_row"))).withColumn(
+        F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"),
+        F.monotonically_increasing_id().alias("row")).withColumn("digest", F.sha1("payload"))
+    sized = stored(read.filter(F.octet_length("payload") >= min_revisit_bytes).select("page_id", "row", "digest"),
+                   "warc-sizes")
+    copied = sized.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("page_id", "row")).alias("top")).filter(
+        "n > 1").select("digest", F.col("top.row").alias("refers_row"))
+    again = stored(sized.join(copied, "digest").filter("row <> refers_row").select("row", "refers_row"), "warc-revisits")
+    decided = read.join(checked_broadcast(again), "row", "left").withColumn(
         "payload", F.when(F.col("refers_row").isNull(), F.col("payload")))
-    archives = max(1, -(-int(rows.agg(F.sum("bytes")).first()[0] or 0) // archive_bytes))
     decided.select("row", "page_id", "url", "payload", "digest", "refers_row").mapInPandas(
-        to_records(segment_bytes), "row long, segment int, value string").repartition(
-        archives, "row", "segment").select("value").write.option("lineSep", RECORD_END).text(path)
+        to_records(segment_bytes), "value string").write.option("lineSep", RECORD_END).option(
+        "compression", "gzip").option("maxRecordsPerFile", archive_records).text(path)
 
 
 FIELDS = ("WARC-Record-ID", "WARC-Type", "X-Page-Id", "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Refers-To",
@@ -152,13 +161,24 @@ def records_of(data: bytes) -> Iterator[tuple]:
         yield (v[0], v[1], number(v[2]), v[3], v[4], v[5], v[6], number(v[7]), number(v[8]), block)
 
 
-def parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def parse_files(segmented: bool):
+    """A function for ``mapInPandas``: contents of archives become their records, either the segmented or the others."""
     names = [c.split()[0] for c in PARSED.split(", ")]
-    for batch in batches:
-        for data in batch["content"]:
-            found = pd.DataFrame(list(records_of(data)), columns=names, dtype=object)
-            for start in range(0, len(found), 500):
-                yield found.iloc[start:start + 500]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for data in batch["content"]:
+                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                out = []
+                for r in records_of(data):
+                    if (r[7] is not None) == segmented:
+                        out.append(r)
+                    if len(out) >= 500:
+                        yield pd.DataFrame(out, columns=names, dtype=object)
+                        out = []
+                yield pd.DataFrame(out, columns=names, dtype=object)
+
+    return run
 
 
 def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,13 +214,12 @@ def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per response or revisit record: ``record_id``, ``type``, ``page_id``, ``url``, ``refers_to`` (record
     id), ``digest``, ``bytes`` and ``payload`` (NULL for revisits)."""
-    parsed = spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse_files, PARSED)
-    parsed = stored(parsed, "warc-parsed")
+    files = spark.read.format("binaryFile").load(path).select("content")
     part = F.struct(F.coalesce("segment", F.lit(1)).alias("segment"), "block")
     head = F.struct("type", "page_id", "url", "digest", "refers_to")
-    whole = parsed.filter("segment is null").select(
+    whole = files.mapInPandas(parse_files(False), PARSED).select(
         "record_id", head.alias("head"), "total", F.array(part).alias("parts"))
-    cut_up = parsed.filter("segment is not null").groupBy(F.coalesce("origin", "record_id").alias("record_id")).agg(
+    cut_up = files.mapInPandas(parse_files(True), PARSED).groupBy(F.coalesce("origin", "record_id").alias("record_id")).agg(
         F.first(F.when(F.col("origin").isNull(), head), ignorenulls=True).alias("head"), F.max("total").alias("total"),
         F.sort_array(F.collect_list(part)).alias("parts"))
     return whole.unionByName(cut_up).select(
