@@ -6,10 +6,10 @@
    steeper weight would push its members, alike at 0.8 or more, apart.
 2. ``BANDS`` bands of ``ROWS`` improved consistent weighted samples: texts of similarity 0.8 share a band with a chance
    of 99.8 %. Equal texts are one node from here on.
-3. Candidates grow with the number of members of a band bucket, not with its square: in each bucket everyone meets the
-   leader (the member with the most company over all its bands, so the original among its variants), and in buckets up
-   to ``SMALL`` everyone meets everyone. Members of larger buckets that stay outside their leader's class are dealt
-   again, by pairs and triples of bands, so that only texts that share more samples meet.
+3. Candidates grow with the number of members of a band bucket, not with its square. First, in each bucket everyone
+   meets the leader (the member with the most company over all its bands, so the original among its variants). Where
+   a bucket then holds members of several classes, members of different classes meet: everyone with everyone in buckets
+   up to ``SMALL``; larger ones are dealt again, by two and three bands, so that only texts that share more samples meet.
 4. Candidates are verified on their whole shingle sets; links of similarity ``MIN_SIMILARITY`` or more are closed to
    classes.
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import shingles as S
@@ -142,22 +142,41 @@ def similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["a", "b", "similarity"])
 
 
-def candidates(members: DataFrame, small: int) -> DataFrame:
-    """Pairs ``a`` < ``b`` from rows ``bucket``, ``node``, ``total``, ``company``, ``n``: everyone with the leader of
-    the bucket, and everyone with everyone in buckets up to ``small``. Pairs whose total weights alone rule out the
-    similarity are left out."""
-    leaders = members.groupBy("bucket").agg(
-        F.max(F.struct("company", (-F.col("node")).alias("minus"), "total")).alias("top")).select(
-        "bucket", (-F.col("top.minus")).alias("leader"), F.col("top.total").alias("leader_total"))
-    ratio = lambda x, y: F.least(x, y) >= (MIN_SIMILARITY - 1e-6) * F.greatest(x, y)
-    star = members.join(leaders, "bucket").filter(
-        (F.col("node") != F.col("leader")) & ratio(F.col("total"), F.col("leader_total"))).select(
+def alike_in_size(x: str, y: str):
+    """Whether two total weights allow the similarity at all."""
+    return F.least(x, y) >= (MIN_SIMILARITY - 1e-6) * F.greatest(x, y)
+
+
+def with_leader(members: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b``: every member of a bucket with its leader, if they are of different classes. The leader is of
+    the largest class there, and has the most company in it. ``members`` has ``bucket``, ``node``, ``total``,
+    ``company``, ``class`` and ``class_size``."""
+    leaders = members.groupBy("bucket").agg(F.max(F.struct(
+        "class_size", "company", (-F.col("node")).alias("minus"), "total", "class")).alias("top")).select(
+        "bucket", (-F.col("top.minus")).alias("leader"), F.col("top.total").alias("leader_total"),
+        F.col("top.class").alias("leader_class"))
+    return members.join(leaders, "bucket").filter(
+        (F.col("class") != F.col("leader_class")) & alike_in_size("total", "leader_total")).select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    few = members.filter((F.col("n") > 2) & (F.col("n") <= small)).select("bucket", "node", "total")
-    other = few.select(F.col("bucket").alias("of"), F.col("node").alias("b"), F.col("total").alias("b_total"))
-    close = few.join(other, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("b"))
-                     & ratio(F.col("total"), F.col("b_total"))).select(F.col("node").alias("a"), "b")
-    return star.unionByName(close).distinct()
+
+
+def with_each_other(members: DataFrame, small: int) -> DataFrame:
+    """Pairs ``a`` < ``b`` of members of different classes in buckets up to ``small``."""
+    few = members.filter(F.col("n") <= small).select("bucket", "node", "total", "class")
+    other = few.toDF("of", "b", "b_total", "b_class")
+    return few.join(other, (F.col("bucket") == F.col("of")) & (F.col("node") < F.col("b")) & (
+        F.col("class") != F.col("b_class")) & alike_in_size("total", "b_total")).select(F.col("node").alias("a"), "b")
+
+
+def in_classes(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """``members`` of buckets that hold several classes, with ``class`` and ``class_size``."""
+    sizes = parts.groupBy("component").agg(F.count("*").alias("class_size"))
+    known = parts.join(sizes, "component")
+    placed = stored(members.join(known, "node", "left").withColumn("class", F.coalesce("component", "node")).withColumn(
+        "class_size", F.coalesce("class_size", F.lit(1))).drop("component"), "near-placed")
+    mixed = placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter(
+        "low <> high").select("bucket")
+    return stored(placed.join(mixed, "bucket", "left_semi"), "near-mixed")
 
 
 def with_company(rows: DataFrame) -> DataFrame:
@@ -188,7 +207,7 @@ def verified(pairs: DataFrame, texts: DataFrame, keyed: DataFrame, idf, min_simi
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS,
             min_similarity: float = MIN_SIMILARITY, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
     """One row per document: ``row`` (its place in the scan of ``docs``, which must be stored), ``doc_id``, ``node``
-    (its text), ``links`` (other texts it was verified to resemble) and ``class`` (a node of its class)."""
+    (its text) and ``class`` (a node of its class)."""
     spark = docs.sparkSession
     read = docs.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     keyed = read.withColumn("row", F.monotonically_increasing_id()).withColumns(
@@ -203,40 +222,31 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int
     banded = texts.select("node", "total", F.explode(F.array(*[F.xxhash64(F.lit(i), b) for i, b in enumerate(names)]))
                           .alias("bucket")).filter("total > 0")
     members = with_company(banded)
-    links = verified(stored(candidates(members, small), "near-pairs"), texts, keyed, idf, min_similarity)
-    for _ in range(1, levels):
-        more = unresolved(members, links, small)
-        if more is None:
-            break
-        members = with_company(more)
-        pairs = stored(candidates(members, small).join(links.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
-        links = stored(links.unionByName(verified(pairs, texts, keyed, idf, min_similarity)), "near-links")
+    alone = members.withColumn("class", F.col("node")).withColumn("class_size", F.lit(1).cast("long"))
+    links = verified(stored(with_leader(alone).distinct(), "near-pairs"), texts, keyed, idf, min_similarity)
     parts = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    named = texts.select("node", "k1", "k2").join(parts, "node", "left").join(degree, "node", "left").select(
-        "node", "k1", "k2", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("class"))
+    company = members.select("node", F.col("bucket").alias("second"))
+    for level in range(1, levels + 1):
+        mixed = in_classes(members, parts)
+        if mixed.limit(1).count() == 0:
+            break
+        pairs = with_each_other(mixed, small)
+        again = mixed.filter(F.col("n") > small).select("bucket", "node", "total").join(company, "node").filter(
+            "bucket <> second").select(F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias(
+            "bucket"), "node", "total").distinct()
+        if level < levels:
+            members = with_company(again)
+            pairs = pairs.unionByName(with_leader(in_classes(members, parts)))
+        pairs = stored(pairs.distinct(), "near-pairs")
+        links = stored(links.unionByName(verified(pairs, texts, keyed, idf, min_similarity)).dropDuplicates(["a", "b"]),
+                       "near-links")
+        parts = components(links)
+    named = texts.select("node", "k1", "k2").join(parts, "node", "left").select(
+        "node", "k1", "k2", F.coalesce("component", "node").alias("class"))
     ids = keyed.select("row", "doc_id")
     return sketch.select("row", "k1", "k2").join(named, ["k1", "k2"]).drop("k1", "k2").join(ids, "row")
 
 
-def unresolved(members: DataFrame, links: DataFrame, small: int) -> DataFrame | None:
-    """Rows ``bucket``, ``node``, ``total`` of large buckets in which someone is outside the class of the leader, dealt
-    by this bucket and each other bucket of the member; None if there are no such buckets."""
-    large = members.filter(F.col("n") > small)
-    if large.limit(1).count() == 0:
-        return None
-    parts = components(links)
-    placed = large.join(parts, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
-    mixed = placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter(
-        "low <> high").select("bucket")
-    open_ = stored(large.join(mixed, "bucket", "left_semi").select("bucket", "node", "total"), "near-open")
-    if open_.limit(1).count() == 0:
-        return None
-    other = members.select("node", F.col("bucket").alias("second"))
-    return open_.join(other, "node").filter("bucket < second").select(
-        F.xxhash64("bucket", "second").alias("bucket"), "node", "total")
-
-
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class: the one with the smallest id, NULL ids last, then the first row. Input columns stay."""
     inner = {c: f"c{i}" for i, c in enumerate(docs.columns)}
@@ -249,6 +259,6 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **options)
 
 
 def report(found: DataFrame) -> DataFrame:
-    """``doc_id``, ``class_id`` (smallest id of the class), ``class_size`` (documents) and ``links`` (other texts)."""
+    """``doc_id``, ``class_id`` (smallest id of the class) and ``class_size`` (documents)."""
     sizes = found.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return found.join(sizes, "class").select("doc_id", "class_id", "class_size", F.col("links").cast("long"))
+    return found.join(sizes, "class").select("doc_id", "class_id", "class_size")
