@@ -22,7 +22,7 @@ from cadenza.llm.common import fresh, n_words
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
-SEEDS = 32
+SEEDS = 64
 COIN_SCALE = 1 << 30
 
 

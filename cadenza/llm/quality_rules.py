@@ -2,8 +2,9 @@
 
 Tokens (runs of letters, digits and underscores, or runs of other visible characters) and pairs of neighbouring tokens
 are hashed into ``BUCKETS`` buckets. One scan counts the buckets over the raw corpus and over its trusted part; a
-document's score is the mean over its n-grams of ln p(bucket | trusted) - ln p(bucket | raw). It is compared with one
-fixed threshold. All of it is DataFrame functions; the counts that reach the driver and come back as a literal are
+document's score is the mean over its n-grams of ln p(bucket | trusted) - ln p(bucket | raw), both with a prior of
+``PRIOR`` counts: without it, a clean document would be blamed for each n-gram that no trusted one happens to share. The
+mean is compared with one fixed threshold. All of it is DataFrame functions; the counts that reach the driver and come back as a literal are
 ``BUCKETS`` numbers whatever the input.
 
 Defined results: NULL text has no words and no n-grams, as the empty text; both fail the base rules. A document without
@@ -26,7 +27,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MIN_SCORE = -0.05
+#: Counts added to the trusted and to the expected count of a bucket, so that rare n-grams say little.
+PRIOR = 10.0
+MIN_SCORE = -0.1
 
 
 def word_list(text: Column) -> Column:
@@ -103,14 +106,11 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id: str, text: str) -> list
     # explode_outer: the plain one adds a filter under it that would compute the n-grams again, token by token
     rows = grams.filter("bucket is not null").groupBy("bucket").agg(
         F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
-    raw, target = [1.0] * BUCKETS, [1.0] * BUCKETS
+    raw, target = [0] * BUCKETS, [0] * BUCKETS
     for r in rows:
-        raw[r["bucket"]] += r["raw"]
-        target[r["bucket"]] += r["target"]
-    if sum(target) == BUCKETS:
-        return [0.0] * BUCKETS
-    all_raw, all_target = sum(raw), sum(target)
-    return [math.log(t / all_target) - math.log(r / all_raw) for t, r in zip(target, raw)]
+        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
+    share = sum(target) / max(1, sum(raw))
+    return [math.log((t + PRIOR) / (n * share + PRIOR)) if share else 0.0 for t, n in zip(target, raw)]
 
 
 def likelihood_ratio(table: list[float], grams: str) -> Column:
