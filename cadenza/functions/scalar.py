@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,11 +92,16 @@ def rounded_percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.round(part * F.lit(100.0) / whole, digits)
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """256-bit digest of a row. Lengths are written out, so different rows have different texts."""
+def row_digest(columns: Sequence[str], nested: Collection[str] = ()) -> Column:
+    """256-bit digest of a row. Lengths are written out, so different rows have different texts.
+
+    ``nested`` columns (arrays, maps, structs) are written as JSON, which quotes what is inside them.
+    """
     parts = []
     for name in columns:
-        text = F.col(name).cast("string")
+        text = F.to_json(F.struct(F.col(name))) if name in nested else F.col(name).cast("string")
+        if name in nested:
+            text = F.when(F.col(name).isNotNull(), text)
         parts.append(
             F.when(text.isNull(), F.lit("n;"))
             .otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
@@ -122,7 +127,7 @@ def text_matches(columns: Sequence[str], query: str, regex: bool = True) -> Colu
     """Case-insensitive match of ``query`` in any of the columns; NULL text never matches."""
     found = F.lit(False)
     for name in columns:
-        text = F.lower(F.col(name))
-        hit = text.rlike(query.lower()) if regex else text.contains(query.lower())
+        text = F.col(name)
+        hit = text.rlike(f"(?iu){query}") if regex else F.lower(text).contains(query.lower())
         found = found | F.coalesce(hit, F.lit(False))
     return found

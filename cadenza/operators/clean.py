@@ -13,9 +13,9 @@ from cadenza.constants import (
 )
 from cadenza.functions.names import numeric_columns
 from cadenza.functions.scalar import finite, label_missing, to_number
-from cadenza.operators.profile import modes, value_counts
+from cadenza.operators.profile import typed_modes, value_counts
 from cadenza.operators.quantiles import approximate_medians, exact_medians
-from cadenza.session import BROADCAST_ROWS
+from cadenza.session import BROADCAST_ROWS, small_side
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,7 +64,8 @@ def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Fill NULLs with fixed values; a ``None`` value leaves its column as it is.
 
-    Numeric columns filled with a fraction become double, so that the fraction survives.
+    A whole-number column filled with a float becomes double whatever the value is, so that the result's type
+    depends on the types alone; filled with a whole number it keeps its type.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     filled = {}
@@ -72,7 +73,7 @@ def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
         if v is None:
             continue
         keep = isinstance(v, str) or isinstance(types[c], (T.FloatType, T.DoubleType))
-        whole = isinstance(types[c], T.IntegralType) and float(v).is_integer() if not keep else False
+        whole = not keep and isinstance(types[c], T.IntegralType) and isinstance(v, int)
         base = F.col(c) if keep or whole else F.col(c).cast("double")
         literal = F.lit(int(v) if whole else v)
         filled[c] = F.coalesce(base, literal.cast(types[c]) if keep or whole else literal)
@@ -83,8 +84,8 @@ def mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """One row per column reaches the driver."""
     if not columns:
         return {}
-    found = {r["column"]: r["mode_number"] if r["mode_number"] is not None else r["mode_text"]
-             for r in modes(df, columns).collect()}
+    found = {r["column"]: next((r[k] for k in ("mode_whole", "mode_number", "mode_text") if r[k] is not None), None)
+             for r in typed_modes(df, columns).collect()}
     return {c: found.get(c) for c in columns}
 
 
@@ -108,6 +109,9 @@ def gap_columns(df: DataFrame, columns: Sequence[str], mean: Sequence[str] = ())
 def fill_missing(df: DataFrame, mean: Sequence[str] = (), mode: Sequence[str] = (),
                  median: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """Fill each group of columns with its own statistic, computed over ``df`` for the columns that need it."""
+    df = nan_to_null(df, [*mean, *mode, *median])
+    whole = [f.name for f in df.schema.fields if f.name in (*mean, *median) and isinstance(f.dataType, T.IntegralType)]
+    df = df.withColumns({c: F.col(c).cast("double") for c in whole})  # with gaps or without: one type
     rows, gaps, means = gap_columns(df, [*mean, *mode, *median], mean)
     values = {c: m for c, m in means.items() if c in gaps}
     values |= mode_values(df, [c for c in mode if c in gaps])
@@ -152,8 +156,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def lookup(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows whose key is among the requested ids."""
-    return df.join(ids.select(key).distinct(), key, "left_semi")
+    """Rows whose key is among the requested ids. Few ids are broadcast, so the table is not shuffled."""
+    return df.join(small_side(ids.select(key).distinct()), key, "left_semi")
 
 
 def not_found(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:

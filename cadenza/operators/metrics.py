@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from cadenza.constants import SEED
 from cadenza.operators.sampling import seeded_sample
+from cadenza.session import materialise
+
+_POINT_BLOCK = 4096
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -65,9 +68,9 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """R², MSE, RMSE and MAE in one scan; the spread of the label comes from its variance."""
+    """R², MSE, RMSE and MAE in one scan, over rows that have both; the label's spread is its variance."""
     error = F.col(label) - F.col(prediction)
-    row = df.agg(
+    row = df.filter(error.isNotNull()).agg(
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
         F.var_pop(label).alias("_variance"),
@@ -86,64 +89,60 @@ def majority_baseline(df: DataFrame, label: str) -> DataFrame:
     return counts.agg((F.max("n") / F.sum("n")).alias("accuracy"))
 
 
-def silhouette_points(df: DataFrame, key: str, vector: str, cluster: str, sample: int = 5000,
+def silhouette_points(df: DataFrame, key: str, vector: str, cluster: str, sample: int | None = None,
                       seed: int = SEED) -> DataFrame:
-    """Euclidean silhouette of each sampled point: ``(key, cluster, silhouette)``.
+    """Euclidean silhouette of each point: ``(key, cluster, silhouette)``.
 
-    The sample (at most ``sample`` rows) is sent to all tasks once. A task takes its share of the
-    sample and adds up distances per cluster, so no pair of points is ever a row.
+    All points are scored against all others: pairs of blocks of about ``_POINT_BLOCK`` points meet in one task, which
+    adds up distances per cluster, so no pair of points is ever a row and nothing passes through the driver. The work is
+    quadratic by definition; ``sample`` takes so many seeded points for a figure at less cost.
     """
-    picked = seeded_sample(
-        df.select(F.col(key).alias("key"), F.col(cluster).cast("string").alias("cluster"),
-                  F.col(vector).cast("array<double>").alias("vector")),
-        "key", sample, seed,
-    )
-    rows = picked.collect()  # bounded by ``sample``
-    spark = df.sparkSession
-    schema = picked.schema
-    names = sorted({r["cluster"] for r in rows})
-    shared = spark.sparkContext.broadcast((
-        np.array([r["vector"] for r in rows], dtype=float),
-        np.array([names.index(r["cluster"]) for r in rows], dtype=int),
-        len(names),
-    ))
-
-    def score(batches):
-        import numpy as np
-        import pandas as pd
-
-        points, groups, n_groups = shared.value
-        sizes = np.bincount(groups, minlength=n_groups)
-        member = np.zeros((len(groups), n_groups))
-        member[np.arange(len(groups)), groups] = 1.0
-        for batch in batches:
-            own = np.array([names.index(c) for c in batch["cluster"]], dtype=int)
-            out = np.zeros(len(batch))
-            vectors = np.array(batch["vector"].tolist(), dtype=float)
-            for start in range(0, len(batch), 200):
-                part = slice(start, start + 200)
-                gaps = np.zeros((len(own[part]), len(points)))
-                for d in range(points.shape[1]):
-                    gaps += (vectors[part, d][:, None] - points[:, d][None, :]) ** 2
-                totals = np.sqrt(gaps) @ member
-                mine = own[part]
-                index = np.arange(len(mine))
-                others = sizes[mine] - 1
-                within = totals[index, mine] / np.maximum(others, 1)
-                means = totals / sizes
-                means[index, mine] = np.inf
-                nearest = means.min(axis=1)
-                best = np.maximum(within, nearest)
-                value = np.where(best > 0, (nearest - within) / np.where(best > 0, best, 1.0), 0.0)
-                out[part] = np.where((others > 0) & np.isfinite(nearest), value, 0.0)
-            yield pd.DataFrame({"key": batch["key"], "cluster": batch["cluster"], "silhouette": out})
-
-    key_type = schema["key"].dataType.simpleString()
-    local = spark.createDataFrame(rows, schema).repartition(spark.sparkContext.defaultParallelism)
-    return local.mapInPandas(score, f"key {key_type}, cluster string, silhouette double")
-
-
-def silhouette(df: DataFrame, key: str, vector: str, cluster: str, sample: int = 5000,
+    points = df.select(F.col(key).alias("key"), F.col(cluster).cast("string").alias("cluster"),
+                       F.col(vector).cast("array<double>").alias("vector"))
+    if sample is not None:
+        points = seeded_sample(points, "key", sample, seed)
+    points = materialise(points.withColumn("at", F.monotonically_increasing_id()), "silhouette")
+    blocks = max(1, -(-points.count() // _POINT_BLOCK))
+    placed = points.withColumn("block", F.pmod(F.xxhash64("at"), F.lit(blocks)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = placed.select("block", every.alias("other"), "at", "vector")
+    right = placed.select(F.col("block").alias("other"), every.alias("block"), "cluster", "vector").toDF(
+        "other", "block", "cluster", "vector")
+    totals = left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(
+        _distance_sums, "at long, other_cluster string, total double")
+    sizes = points.groupBy(F.col("cluster").alias("other_cluster")).agg(F.count(F.lit(1)).alias("size"))
+    own = F.coalesce(F.col("other_cluster") == F.col("cluster"), F.lit(False))
+    sums = totals.groupBy("at", "other_cluster").agg(F.sum("total").alias("total")).join(sizes, "other_cluster")
+    scored = sums.join(points.select("at", "key", "cluster"), "at").groupBy("at", "key", "cluster").agg(
+        F.max(F.when(own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("within"),
+        F.min(F.when(~own, F.col("total") / F.col("size"))).alias("nearest"))
+    best = F.greatest("within", "nearest")
+    return scored.select("key", "cluster", F.when(
+        F.col("within").isNotNull() & F.col("nearest").isNotNull() & (best > 0),
+        (F.col("nearest") - F.col("within")) / best).otherwise(0.0).alias("silhouette"))
+
+
+def _distance_sums(points, others):
+    """Distances of each point to the others, added up per cluster."""
+    import pandas as pd
+
+    if not len(points) or not len(others):
+        return pd.DataFrame({"at": [], "other_cluster": [], "total": []})
+    a, b = (np.array(x["vector"].tolist(), dtype=float) for x in (points, others))
+    groups, names = pd.factorize(others["cluster"])
+    member = np.zeros((len(b), len(names)))
+    member[np.arange(len(b)), groups] = 1.0
+    sums = np.zeros((len(a), len(names)))
+    for start in range(0, len(a), 200):
+        gaps = np.zeros((len(a[start:start + 200]), len(b)))
+        for d in range(b.shape[1]):
+            gaps += (a[start:start + 200, d][:, None] - b[:, d][None, :]) ** 2
+        sums[start:start + 200] = np.sqrt(gaps) @ member
+    return pd.DataFrame({"at": np.repeat(points["at"].to_numpy(), len(names)),
+                         "other_cluster": np.tile(np.asarray(names, dtype=object), len(a)), "total": sums.ravel()})
+
+
+def silhouette(df: DataFrame, key: str, vector: str, cluster: str, sample: int | None = None,
                seed: int = SEED) -> DataFrame:
     points = silhouette_points(df, key, vector, cluster, sample, seed)
     return points.agg(F.avg("silhouette").alias("silhouette_score"), F.count(F.lit(1)).alias("points"))

@@ -32,12 +32,19 @@ def small_classes(df: DataFrame, column: str, minimum: int = MIN_CLASS_ROWS) ->
     return value_counts(df, column).filter(F.col("count") < minimum)
 
 
+def _is_missing(df: DataFrame, column: str) -> Column:
+    """NULL, or NaN in a float or double column."""
+    c = F.col(column)
+    floating = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+    return (c.isNull() | F.isnan(c)) if floating else c.isNull()
+
+
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: rows, missing rows, missing percent. One scan, constant-size buffers."""
     columns = list(columns or df.columns)
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.count_if(_is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)],
     )
     return _one_row_per_column(counted, columns, "m", "missing", ["rows"]).withColumn(
         "missing_percent",
@@ -78,26 +85,36 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Values are counted before the shuffle, so a frequent value costs one row per task.
     """
+    return typed_modes(df, columns).select(
+        "column", F.coalesce("mode_number", F.col("mode_whole").cast("double")).alias("mode_number"), "mode_text", "count")
+
+
+def typed_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """As ``modes``, with whole numbers kept as they are in ``mode_whole``: a double has no room for a large long."""
     numeric = set(numeric_columns(df))
-    cells = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"),
-            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number"),
-            (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")).alias("text"),
-        )
-        for c in columns
-    ])
+    integral = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)} & numeric
+
+    def cell(c):
+        number = F.col(c).cast("double")
+        parts = {
+            "whole": F.col(c).cast("long") if c in integral else F.lit(None).cast("long"),
+            "number": F.when(~F.isnan(number), number) if c in numeric - integral else F.lit(None).cast("double"),
+            "text": F.lit(None).cast("string") if c in numeric else F.col(c).cast("string"),
+        }
+        return F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in parts.items()])
+
     values = (
-        df.select(F.explode(cells).alias("cell")).select("cell.*")
-        .filter(F.col("number").isNotNull() | F.col("text").isNotNull())
-        .groupBy("column", "number", "text")
+        df.select(F.explode(F.array(*[cell(c) for c in columns])).alias("cell")).select("cell.*")
+        .filter(F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull())
+        .groupBy("column", "whole", "number", "text")
         .agg(F.count(F.lit(1)).alias("count"))
     )
     best = values.groupBy("column").agg(
-        F.min(F.struct((-F.col("count")).alias("order"), "number", "text")).alias("best")
+        F.min(F.struct((-F.col("count")).alias("order"), "whole", "number", "text")).alias("best")
     )
     return best.select(
         "column",
+        F.col("best.whole").alias("mode_whole"),
         F.col("best.number").alias("mode_number"),
         F.col("best.text").alias("mode_text"),
         (-F.col("best.order")).alias("count"),
@@ -150,6 +167,10 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return _one_row_per_column(row, columns, "k", "constant", [])
 
 
+def nested_columns(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
+
+
 def _comparable(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """-0.0 and 0.0 are one value, as they are for GROUP BY."""
     floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
@@ -159,7 +180,7 @@ def _comparable(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicate_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct rows and copies after the first. Rows travel as 32-byte digests, counted before the shuffle."""
     columns = list(columns or df.columns)
-    groups = _comparable(df, columns).groupBy(F.unhex(row_digest(columns)).alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    groups = _comparable(df, columns).groupBy(F.unhex(row_digest(columns, nested_columns(df))).alias("row")).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

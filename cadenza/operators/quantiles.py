@@ -53,15 +53,22 @@ class _Bracket:
             self.high, self.upto = guess, less
 
 
+def _number(column: str):
+    """The column as double, NaN as NULL."""
+    c = F.col(column).cast("double")
+    return F.when(~F.isnan(c), c)
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     small: int = SMALL_COLUMN, rows: int | None = None) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column, NULLs ignored; ``None`` for an all-NULL column.
+    """Linear-interpolated quantiles per column, NULLs and NaNs ignored; ``None`` for a column without values.
 
     ``rows``: the table's row count, if the caller has it already.
     """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
+    df = df.select(*[_number(c).alias(c) for c in columns])
     if rows is not None and rows <= small:
         return _direct(df, columns, probs)
     return _bracketed(df, columns, probs, small)
@@ -114,7 +121,7 @@ def approximate_medians(df: DataFrame, columns: Sequence[str], accuracy: int = _
     if not columns:
         return {}
     row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(str(i))
+        F.percentile_approx(_number(c), 0.5, accuracy).alias(str(i))
         for i, c in enumerate(columns)
     ]).first()
     return {c: row[i] for i, c in enumerate(columns)}

@@ -146,11 +146,11 @@ def rule_cluster(columns: Sequence[str], energy: str = "energy", danceability: s
     return F.when(unreadable, hash_bucket(key).cast("int")).when(high, F.lit(0)).otherwise(F.lit(1))
 
 
-def browse_clusters(tracks: DataFrame, limit: int = 15, sample: int = 500, key: str = "track_id",
+def browse_clusters(tracks: DataFrame, limit: int = 15, sample: int | None = None, key: str = "track_id",
                     energy: str = "energy", danceability: str = "danceability", threshold: float = 0.6,
                     names: Sequence[str] = CLUSTER_NAMES, seed: int = SEED) -> DataFrame:
-    """The first ``limit`` sampled tracks of each rule cluster, in sample order."""
-    picked = seeded_sample(tracks, key, sample, seed)
+    """The first ``limit`` tracks of each rule cluster in seeded order; ``sample`` looks at so many tracks only."""
+    picked = tracks if sample is None else seeded_sample(tracks, key, sample, seed)
     label = rule_cluster(tracks.columns, energy, danceability, key, threshold)
     clustered = picked.withColumn("cluster", label)
     order = Window.partitionBy("cluster").orderBy(digest(key, seed), key)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cadenza.constants import SEED
 from cadenza.operators.sampling import seeded_sample
-from cadenza.session import materialise
+from cadenza.session import materialise, small_side
 
 DIGITS = 9
 SMALL_CATALOGUE = 32_768
@@ -80,8 +80,10 @@ def _top_pairs(query_ids, queries, ids, vectors, k, exclude_self, digits, cells=
 
 
 def _narrow(df: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """Ids and vectors; rows without either, or with a NULL or NaN component, have no similarity and take no part."""
     narrow = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    return narrow.filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
+    whole = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x))
+    return narrow.filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & whole)
 
 
 def _pack(matrix) -> list[bytes]:
@@ -97,13 +99,15 @@ def _unpack(packed):
 
 def _bounded(df: DataFrame, limit: int):
     """Ids and unit vectors of a table of at most ``limit`` rows, else None."""
+    width = df.agg(F.max(F.size("vector"))).first()[0] or 1
+    limit = min(limit, _SMALL_VALUES // max(1, width))  # known before any vector is fetched
     rows = df.limit(limit + 1).toArrow()
     n = rows.num_rows
     ids = rows["id"].to_pandas().to_numpy()
     if n == 0:
         return ids, np.zeros((0, 1))
     vectors = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    if n > limit or len(vectors) > _SMALL_VALUES:
+    if n > limit:
         return None
     return ids, unit_rows(vectors.reshape(n, -1))
 
@@ -360,7 +364,7 @@ def similar_tracks(ids: DataFrame, index: DataFrame, info: DataFrame, k: int = 1
 
     The hits are stored first: the search runs once, and the planner knows how small they are.
     """
-    queries = index.join(ids.select(id_col).distinct(), id_col, "left_semi")
+    queries = index.join(small_side(ids.select(id_col).distinct()), id_col, "left_semi")
     hits = materialise(nearest(queries, index, k, id_col, vector), "hits")
     return hits.withColumnRenamed("id", id_col).join(info, id_col).withColumnRenamed(
         "similarity", "similarity_score"
@@ -370,7 +374,7 @@ def similar_tracks(ids: DataFrame, index: DataFrame, info: DataFrame, k: int = 1
 def similar_available(queries: DataFrame, index: DataFrame, available: DataFrame, k: int = 10,
                       id_col: str = "track_id", vector: str = "vector") -> DataFrame:
     """Neighbours among the ids that the current table has. Filtered before the search, so nothing falls short."""
-    candidates = index.join(available.select(id_col).distinct(), id_col, "left_semi")
+    candidates = index.join(small_side(available.select(id_col).distinct()), id_col, "left_semi")
     return nearest(queries, candidates, k, id_col, vector)
 
 
@@ -390,10 +394,15 @@ def with_fallback(primary: DataFrame, fallback: DataFrame, limit: int) -> DataFr
 
 
 def fallback_neighbours(queries: DataFrame, catalogue: DataFrame, k: int, id_col: str = "track_id",
-                        vector: str = "vector", sample: int = 2000, seed: int = SEED) -> DataFrame:
-    """Neighbours among a seeded sample of the catalogue: the second choice of the similar-tracks page."""
-    picked = seeded_sample(catalogue.select(id_col, vector), id_col, sample, seed)
-    return nearest(queries, picked, k, id_col, vector, strategy="catalogue", small_rows=sample)
+                        vector: str = "vector", sample: int | None = None, seed: int = SEED) -> DataFrame:
+    """Neighbours by another vector, over the whole catalogue: the second choice of the similar-tracks page.
+
+    ``sample`` limits the search to so many seeded rows, for callers that trade quality for time.
+    """
+    picked = catalogue.select(id_col, vector)
+    if sample is not None:
+        picked = seeded_sample(picked, id_col, sample, seed)
+    return nearest(queries, picked, k, id_col, vector)
 
 
 def raw_vector(columns, loudness: str | None = "loudness"):

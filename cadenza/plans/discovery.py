@@ -137,10 +137,9 @@ def similar_among_available(spark, folder):
     WITH {_PAIRS_SQL}, first AS (
         SELECT query_id, id, s, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank, 0 AS source FROM pairs
         WHERE id IN (SELECT r_regionkey FROM region) QUALIFY rank <= 10),
-    sample AS (SELECT id FROM e ORDER BY md5(id::VARCHAR || '42'), id LIMIT 2000),
     second AS (
         SELECT query_id, id, s, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank, 1 AS source FROM pairs
-        WHERE id IN (SELECT id FROM sample) QUALIFY rank <= 10),
+        QUALIFY rank <= 10),
     merged AS (
         SELECT * FROM (SELECT * FROM first UNION ALL SELECT * FROM second)
         QUALIFY row_number() OVER (PARTITION BY query_id, id ORDER BY source, rank) = 1)
@@ -250,7 +249,7 @@ def popularity_fallback(spark, folder):
 @query("""
     WITH sample AS (
         SELECT c_custkey, c_acctbal / 10000 AS energy, c_nationkey / 25 AS danceability, md5(c_custkey::VARCHAR || '42') AS h
-        FROM customer ORDER BY h, c_custkey LIMIT 500),
+        FROM customer),
     clustered AS (SELECT *, CASE WHEN energy > 0.6 AND danceability > 0.6 THEN 0 ELSE 1 END AS cluster FROM sample)
     SELECT c_custkey, cluster, ['AI cluster: High Energy', 'AI cluster: Chill Vibes'][cluster + 1] AS cluster_name,
            row_number() OVER (PARTITION BY cluster ORDER BY h, c_custkey) AS position

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cadenza.constants import CORE_FEATURES, REDUCED_FEATURES, REDUCED_METADATA
 from cadenza.functions.names import drop_index_column, keep_columns
 from cadenza.functions.scalar import text_matches
-from cadenza.operators.clean import handle_missing, map_genres
+from cadenza.operators.clean import handle_missing, lookup, map_genres
 from cadenza.operators.features import catalogue_features
 from cadenza.operators.models import index_rows, score_all
 from cadenza.operators.recommend import named_output
@@ -20,6 +20,10 @@ from cadenza.operators.validate import require_valid, validation_report
 from cadenza.sources.delimited import read_csv
 
 
+# Columns searched, the first of each that the table has.
+SEARCH_NAMES = [("track_name", "title"), ("artist_name", "artists")]
+
+
 def build_catalogue(raw: DataFrame, metadata: Sequence[str] = REDUCED_METADATA,
                     features: Sequence[str] = REDUCED_FEATURES) -> DataFrame:
     """Clean, map genres, derive features, reduce. One lazy chain; only fill statistics run early."""
@@ -35,8 +39,14 @@ def catalogue_job(spark: SparkSession, source: str, target: str, target_column:
 
 
 def search(tracks: DataFrame, query: str, limit: int = 20, key: str = "track_id",
-           columns: Sequence[str] = ("track_name", "artist_name"), regex: bool = True) -> DataFrame:
-    """Title or artist search. A query below two characters finds nothing."""
+           columns: Sequence[str] | None = None, regex: bool = True) -> DataFrame:
+    """Title or artist search. A query below two characters finds nothing.
+
+    Without ``columns`` the names used are those the table has: track or title, artist or artists.
+    """
+    if columns is None:
+        columns = [next(c for c in names if c in tracks.columns) for names in SEARCH_NAMES
+                   if any(c in tracks.columns for c in names)]
     if len(query.strip()) < 2:
         return tracks.limit(0)
     return tracks.filter(text_matches(columns, query, regex)).orderBy(key).limit(limit)
@@ -49,18 +59,22 @@ def list_tracks(tracks: DataFrame, limit: int = 20, genre: str | None = None, ke
 
 
 def similar_songs(requested: DataFrame, tracks: DataFrame, index: DataFrame, scaler: PipelineModel, limit: int = 10,
-                  key: str = "track_id", raw_columns: Sequence[str] | None = None) -> DataFrame:
-    """Similar songs of each requested id: index neighbours first, then neighbours in a sample of the table."""
-    wanted = tracks.join(requested.select(key).distinct(), key, "left_semi")
+                  key: str = "track_id", raw_columns: Sequence[str] | None = None, sample: int | None = None) -> DataFrame:
+    """Similar songs of each requested id: index neighbours first, then neighbours by raw features.
+
+    ``sample`` limits the second search to so many seeded rows.
+    """
+    wanted = lookup(tracks, key, requested)
     available = index.join(tracks.select(key).distinct(), key, "left_semi")
     first = nearest(index_rows(wanted, scaler, [key]), available, limit, key)
     columns = list(raw_columns or [c for c in CORE_FEATURES if c in tracks.columns])
     second = fallback_neighbours(
-        wanted.withColumn("vector", raw_vector(columns)), tracks.withColumn("vector", raw_vector(columns)), limit, key
+        wanted.withColumn("vector", raw_vector(columns)), tracks.withColumn("vector", raw_vector(columns)), limit, key,
+        sample=sample,
     )
     return named_output(with_fallback(first, second, limit), tracks, key)
 
 
 def song_pages(requested: DataFrame, tracks: DataFrame, models: Mapping[str, PipelineModel], key: str = "track_id") -> DataFrame:
     """Requested tracks with every available prediction."""
-    return score_all(tracks.join(requested.select(key).distinct(), key, "left_semi"), **models)
+    return score_all(lookup(tracks, key, requested), **models)

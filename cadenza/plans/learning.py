@@ -17,11 +17,10 @@ from cadenza.plans.registry import query, rounded, table
 from cadenza.session import scratch_dir
 from cadenza.streaming.interactions import score_stream
 
-_DIMENSIONS = 64
-
-
-def _embedding_features():
-    return {f"d{i}": f"vector[{i}]" for i in range(_DIMENSIONS)}
+def _embedding_features(df):
+    """One feature per component; the length comes from the data."""
+    width = df.agg(F.max(F.size("vector"))).first()[0] or 0
+    return {f"d{i}": f"vector[{i}]" for i in range(width)}
 
 
 def _embedded(spark, folder):
@@ -48,7 +47,8 @@ def _tracks(spark, folder):
 @query()
 def genre_predictions(spark, folder):
     """Forest on a stratified split: each test row with its class, best three and correctness."""
-    _, scored = train_classifier(_embedded(spark, folder), "genre", "track_id", _embedding_features())
+    rows = _embedded(spark, folder)
+    _, scored = train_classifier(rows, "genre", "track_id", _embedding_features(rows))
     judged = with_actual(scored, "genre", "predicted", numeric=False)
     return judged.select(
         "track_id", "genre", "predicted", "correct",
@@ -57,7 +57,8 @@ def genre_predictions(spark, folder):
 
 @query()
 def genre_scores(spark, folder):
-    _, scored = train_classifier(_embedded(spark, folder), "genre", "track_id", _embedding_features())
+    rows = _embedded(spark, folder)
+    _, scored = train_classifier(rows, "genre", "track_id", _embedding_features(rows))
     return classification_metrics(scored.withColumn("genre", F.col("genre").cast("string")), "genre", "predicted")
 
 
@@ -157,9 +158,10 @@ def similar_in_feature_space(spark, folder):
 @query()
 def model_training_report(spark, folder):
     """All five models in one job; a failure would be a row, not an end."""
-    features = {"genre": _embedding_features(), "popularity": _embedding_features(), "energy": _embedding_features(),
-                "clusters": _embedding_features(), "similar": _embedding_features()}
-    tracks = _embedded(spark, folder).join(
+    vectors = _embedded(spark, folder)
+    components = _embedding_features(vectors)
+    features = {name: components for name in ("genre", "popularity", "energy", "clusters", "similar")}
+    tracks = vectors.join(
         table(spark, folder, "part"), F.col("track_id") == F.col("p_partkey"), "left"
     ).select("track_id", "vector", "genre", (F.col("p_size") * 2.0).alias("popularity"),
              (F.col("p_retailprice") / 3000).alias("energy"))
@@ -170,7 +172,7 @@ def model_training_report(spark, folder):
 def stream_scores(spark, folder):
     """A saved clustering applied to rows as they arrive."""
     rows = _embedded(spark, folder)
-    model = train_clusters(rows, 2, _embedding_features(), restarts=2)
+    model = train_clusters(rows, 2, _embedding_features(rows), restarts=2)
     schema = table(spark, folder, "embeddings").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/embeddings.parquet*").select(
         F.col("vec_id").alias("track_id"), F.col("embedding").alias("vector"))

@@ -115,10 +115,10 @@ def first_rows_of_file(spark, folder):
     SELECT 'popularity_regression' AS model, 'r2_score' AS metric, round(1 - mse / v, 8) AS value, NULL AS note FROM m UNION ALL
     SELECT 'popularity_regression', 'rmse', round(sqrt(mse), 4), NULL FROM m UNION ALL
     SELECT 'popularity_regression', 'mae', round(mae, 4), NULL FROM m UNION ALL
-    SELECT 'genre_classification', NULL, NULL, 'Accuracy requires test data. Re-train model to save metrics.' UNION ALL
-    SELECT 'energy_regression', NULL, NULL, 'Metrics require test data. Re-train model to save metrics.' UNION ALL
-    SELECT 'clustering', NULL, NULL, 'Silhouette score requires data. Re-train model to save metrics.' UNION ALL
-    SELECT 'similar_songs', NULL, NULL, 'KNN similarity model - metrics not applicable'
+    SELECT 'genre_classification', NULL, NULL, 'no accuracy stored; train the model first' UNION ALL
+    SELECT 'energy_regression', NULL, NULL, 'no errors stored; train the model first' UNION ALL
+    SELECT 'clustering', NULL, NULL, 'no silhouette stored; train the model first' UNION ALL
+    SELECT 'similar_songs', NULL, NULL, 'a neighbour index has no metrics'
 """)
 def stored_metrics(spark, folder):
     scores = rounded(regression_metrics(_priced(spark, folder), "o_totalprice", "prediction"), r2_score=8, rmse=4, mae=4)

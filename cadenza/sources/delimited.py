@@ -10,18 +10,24 @@ from pyspark.sql import types as T
 
 from cadenza.constants import CORE_FEATURES
 from cadenza.functions.names import borrow_id_column, clean_names, clean_upload_names, rename_aliases
-from cadenza.functions.scalar import last_path_segment, normalize_loudness
-from cadenza.operators.clean import coerce_and_fill, first_per_key
+from cadenza.functions.scalar import last_path_segment, normalize_loudness, to_number
+from cadenza.operators.clean import coerce_and_fill, first_per_key, nan_to_null
 from cadenza.operators.sampling import sequential_ids
 
 # Delimiters tried for an uploaded file, first wins on a tie.
 DELIMITERS = [";", ",", "\t"]
+# Cells that mean "missing" (the empty cell is NULL anyway).
+MISSING_TOKENS = ["#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+                  "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8",
-             schema: T.StructType | str | None = None, infer: bool = False, multiline: bool = False) -> DataFrame:
+             schema: T.StructType | str | None = None, infer: bool = False, multiline: bool = False,
+             missing: Sequence[str] = MISSING_TOKENS) -> DataFrame:
     """Read a file with a header. Without a schema all columns are text, unless ``infer`` pays a second scan.
 
+    Cells that are one of the ``missing`` tokens, and NaN in number columns, are NULL.
+
     ``multiline`` allows line breaks in quoted fields, at the price of one task per file.
     """
     reader = (
@@ -29,8 +35,41 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UT
         .option("multiLine", multiline).option("escape", '"')
     )
     if schema is not None:
-        return reader.schema(schema).option("enforceSchema", False).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+        typed = reader.schema(schema).option("enforceSchema", False).csv(path)
+        return nan_to_null(missing_tokens_to_null(typed, missing))
+    text = missing_tokens_to_null(reader.csv(path), missing)
+    return infer_numbers(text) if infer else text
+
+
+def missing_tokens_to_null(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+    """Text that stands for a missing value becomes NULL, as the files' writers mean it."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not tokens or not text:
+        return df
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(list(tokens)), F.col(f"`{c}`")) for c in text})
+
+
+def infer_numbers(df: DataFrame) -> DataFrame:
+    """Text columns that hold only whole numbers become int or bigint, those with only numbers double; one scan."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return df
+    tests = {}
+    for i, c in enumerate(names):
+        v = F.trim(F.col(f"`{c}`"))
+        whole = v.rlike(r"^[+-]?[0-9]{1,18}$")
+        tests[f"n{i}"] = F.count(v)
+        tests[f"i{i}"] = F.count_if(whole & F.coalesce(v.try_cast("int").isNotNull(), F.lit(False)))
+        tests[f"l{i}"] = F.count_if(whole)
+        tests[f"d{i}"] = F.count_if(F.coalesce(to_number(v).isNotNull(), F.lit(False)))
+    row = df.agg(*[e.alias(k) for k, e in tests.items()]).first()
+    kinds = {}
+    for i, c in enumerate(names):
+        n = row[f"n{i}"]
+        kind = next((t for t, k in (("int", "i"), ("bigint", "l"), ("double", "d")) if n and row[f"{k}{i}"] == n), None)
+        if kind:
+            kinds[c] = F.trim(F.col(f"`{c}`")).try_cast(kind)
+    return df.withColumns(kinds) if kinds else df
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error") -> None:
@@ -79,6 +118,11 @@ def read_upload(spark: SparkSession, path: str, check_suffix: bool = False, mult
     return read_csv(spark, path, detect_delimiter(line), detect_encoding(spark, path), multiline=multiline)
 
 
+def _fullest_first(df: DataFrame) -> list:
+    """Total order of the rows of one id in which a missing value never wins over a present one."""
+    return [F.asc_nulls_last(c) for c in df.columns if c != "track_id"] or ["track_id"]
+
+
 def clean_upload(raw: DataFrame, numeric: Sequence[str] = CORE_FEATURES, order: Sequence[str] | None = None,
                  exact: bool = True) -> DataFrame:
     """Uploaded table: names, aliases, an id per row, first row per id, numbers with gaps filled.
@@ -93,7 +137,7 @@ def clean_upload(raw: DataFrame, numeric: Sequence[str] = CORE_FEATURES, order:
         else:
             df = sequential_ids(df, "track_id", "custom_")
     df = df.withColumn("track_id", F.col("track_id").cast("string"))
-    df = first_per_key(df, ["track_id"], list(order or [c for c in df.columns if c != "track_id"] or ["track_id"]))
+    df = first_per_key(df, ["track_id"], list(order or _fullest_first(df)))
     return coerce_and_fill(df, numeric, empty=0.0, exact=exact)
 
 
@@ -109,7 +153,7 @@ def clean_serving(raw: DataFrame, numeric: Sequence[str] = CORE_FEATURES, order:
         df = df.withColumn("track_id", last_path_segment(F.col("song_url")))
     if "loudness" in df.columns:
         df = df.withColumn("loudness", normalize_loudness(F.col("loudness")))
-    df = first_per_key(df, ["track_id"], list(order or [c for c in df.columns if c != "track_id"]))
+    df = first_per_key(df, ["track_id"], list(order or _fullest_first(df)))
     df = coerce_and_fill(df, numeric, empty=None, exact=exact)
     return df.withColumns({c: F.col(c).cast("float") for c in numeric if c in df.columns})
 

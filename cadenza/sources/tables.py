@@ -69,9 +69,11 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, columns: Sequence
 
     Matched rows take the incoming ``columns``, NULLs included, and keep the other stored columns.
     New rows get ``new_row`` for those. ``latest`` orders incoming rows, the winner first. Write the
-    result to a new place and switch to it; it reads the old one.
+    result to a new place and switch to it; it reads the old one. Rows without a key conflict with
+    nothing: all of them are added.
     """
-    winners = first_per_key(incoming, [key], latest).select(
+    keyed = first_per_key(incoming.filter(F.col(key).isNotNull()), [key], latest)
+    winners = keyed.unionByName(incoming.filter(F.col(key).isNull())).select(
         key, *[F.col(c).alias(f"_in_{c}") for c in columns], F.lit(True).alias("_given")
     )
     stored = existing.withColumn("_stored", F.lit(True))
@@ -118,6 +120,34 @@ def project(df: DataFrame, columns: Sequence[str] = LOADED_COLUMNS, limit: int |
     return chosen if limit is None else chosen.orderBy(*order).limit(limit)
 
 
+def replace_by_upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str, columns: Sequence[str],
+                      latest: Sequence[Column | str], id: str = "id", created: str = "created_at") -> str:
+    """Upsert into the newest version of the Parquet table under ``path`` and return the new version's folder.
+
+    Each version is a folder of its own, written in full before :func:`current_version` finds it, so readers never see
+    half a table. New rows get ids above the largest one (unique, not gapless) and the current time.
+    """
+    now = current_version(spark, path)
+    existing = spark.read.parquet(now)
+    top = existing.agg(F.max(id)).first()[0] or 0
+    new_row = {id: F.monotonically_increasing_id() + F.lit(top + 1), created: F.current_timestamp()}
+    merged = upsert(existing, incoming, key, columns, latest, {c: v for c, v in new_row.items() if c in existing.columns})
+    target = f"{path.rstrip('/')}/version={int(now.rsplit('=', 1)[1]) + 1}"
+    merged.write.parquet(target)
+    return target
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the newest completely written version of a table kept by :func:`replace_by_upsert`."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [s.getPath() for s in files.listStatus(base) if s.getPath().getName().startswith("version=")
+            and files.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    if not done:
+        raise ValueError(f"no version of a table in {path}")
+    return max((p.toString() for p in done), key=lambda p: int(p.rsplit("=", 1)[1]))
+
+
 def jdbc_options(url: str, table: str, columns: Sequence[str] = LOADED_COLUMNS, partition_column: str | None = "id",
                  bounds: tuple[int, int] | None = None, partitions: int = 64, fetch_size: int = 10_000,
                  **extra: str) -> dict[str, str]:
@@ -136,6 +166,15 @@ def jdbc_options(url: str, table: str, columns: Sequence[str] = LOADED_COLUMNS,
 
 
 def read_jdbc(spark: SparkSession, **options) -> DataFrame:
+    """A parallel scan. Without ``bounds`` those of the partition column are asked for first; one task reads all only if
+    ``partition_column`` is None."""
+    column = options.get("partition_column", "id")
+    if column and not options.get("bounds"):
+        asked = jdbc_options(**{**options, "columns": [f"MIN({column}) AS low", f"MAX({column}) AS high"],
+                                "partition_column": None})
+        row = spark.read.format("jdbc").options(**asked).load().first()
+        if row[0] is not None:
+            options["bounds"] = (int(row[0]), int(row[1]) + 1)
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
 
 

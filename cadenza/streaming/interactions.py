@@ -30,6 +30,11 @@ def interactions(events: DataFrame, actions: Sequence[str] = COUNTED_ACTIONS) ->
     ).filter(F.col("track_id").isNotNull() & F.col("action").isin(list(actions)))
 
 
+def rejected(events: DataFrame) -> DataFrame:
+    """Events that cannot be logged or ordered: no track, no time or no id. Works on batch and stream."""
+    return events.filter(F.col("track_id").isNull() | F.col("ts").isNull() | F.col("event_id").isNull())
+
+
 def write_log(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append counted interactions to a Parquet log, exactly once."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
@@ -72,9 +77,11 @@ def _keep_latest(n: int):
 def latest_tracks(stream: DataFrame, n: int = KEPT_INTERACTIONS) -> DataFrame:
     """Keyed state: each user's last ``n`` tracks by event time, so late events find their place.
 
-    Emits a user's new list whenever it changes (update mode).
+    Emits a user's new list whenever it changes (update mode). Events without a time or an id have no place in the
+    order and are left out; :func:`rejected` selects them for a side folder.
     """
-    timed = stream.select("user_id", "track_id", F.unix_micros("ts").alias("ts_us"), "event_id")
+    placed = stream.filter(F.col("ts").isNotNull() & F.col("event_id").isNotNull())
+    timed = placed.select("user_id", "track_id", F.unix_micros("ts").alias("ts_us"), "event_id")
     cut = timed.mapInPandas(_cut_batches(n), timed.schema)
     return cut.groupBy("user_id").applyInPandasWithState(
         _keep_latest(n), _OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout

@@ -97,7 +97,7 @@ def test_metrics(spark, tmp_path):
     metrics_store.write_metrics(metrics_store.metric_rows(spark, {"clustering": {"silhouette_score": .4}}), path)
     got = {r["model"]: r for r in metrics_store.read_metrics(spark, path).collect()}
     assert got["clustering"]["value"] == .4 and got["clustering"]["note"] is None
-    assert got["similar_songs"]["value"] is None and "not applicable" in got["similar_songs"]["note"]
+    assert got["similar_songs"]["value"] is None and "no metrics" in got["similar_songs"]["note"]
 
 
 class _Session:
