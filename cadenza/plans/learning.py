@@ -14,7 +14,7 @@ from cadenza.operators.models import (
 from cadenza.operators.profile import group_centroids, group_sizes
 from cadenza.operators.similar import nearest
 from cadenza.plans.registry import query, rounded, table
-from cadenza.session import scratch_dir
+from cadenza.session import materialise, scratch_dir
 from cadenza.streaming.interactions import score_stream
 
 def _embedding_features(df):
@@ -64,14 +64,15 @@ def genre_scores(spark, folder):
 
 @query()
 def popularity_scores(spark, folder):
-    _, scored = train_regressor(_tracks(spark, folder), "popularity", "track_id")
+    tracks = materialise(_tracks(spark, folder), "tracks")  # read many times in training
+    _, scored = train_regressor(tracks, "popularity", "track_id")
     return regression_metrics(scored, "popularity", "predicted")
 
 
 @query()
 def energy_scores(spark, folder):
     """Without the features that give the target away."""
-    tracks = _tracks(spark, folder)
+    tracks = materialise(_tracks(spark, folder), "tracks")
     features = {n: e for n, e in energy_features(tracks).items() if n != "acousticness"}
     _, scored = train_regressor(tracks, "energy", "track_id", features)
     return regression_metrics(scored, "energy", "predicted")

@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cadenza.operators.clean import first_per_key
+from cadenza.operators.clean import first_per_key, handle_missing
 from cadenza.operators.metrics import regression_metrics
 from cadenza.operators.recommend import KEPT_INTERACTIONS
 from cadenza.plans.quality import _priced
@@ -35,6 +35,24 @@ def csv_round_trip(spark, folder):
     return both
 
 
+@query("""
+    WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN p_name END AS p_name,
+                      CASE WHEN p_partkey % 5 > 0 THEN p_retailprice END AS p_retailprice FROM part)
+    SELECT p_partkey, p_name, round(coalesce(p_retailprice, (SELECT avg(p_retailprice) FROM p WHERE p_name IS NOT NULL)), 6) AS p_retailprice
+    FROM p WHERE p_name IS NOT NULL
+""")
+def csv_missing_tokens(spark, folder):
+    """A file that writes its gaps as NA, null and NaN: rows without a name go, prices are filled by their mean."""
+    key = F.col("p_partkey")
+    part = table(spark, folder, "part").select(
+        key, F.when(key % 3 > 0, F.col("p_name")).when(key % 2 == 0, "NA").otherwise("null").alias("p_name"),
+        F.when(key % 5 > 0, F.col("p_retailprice").cast("string")).otherwise("NaN").alias("p_retailprice"))
+    path = scratch_dir(spark, "gaps")
+    write_csv(part, path)
+    back = read_csv(spark, path, infer=True).withColumn("p_partkey", F.col("p_partkey").cast("long"))
+    return rounded(handle_missing(back, text=["p_name"], mean=["p_retailprice"], mode=[]), p_retailprice=6)
+
+
 @query("""
     SELECT 'p' || p_partkey AS track_id, p_name AS track_name, p_brand AS artist_name,
            coalesce(CASE WHEN p_size = 7 THEN NULL ELSE p_size END, (SELECT median(p_size) FROM part WHERE p_size <> 7))::DOUBLE AS energy,
