@@ -9,7 +9,8 @@
 3. Candidates grow with the number of members of a band bucket, not with its square. First, in each bucket everyone
    meets the leader (the member with the most company over all its bands, so the original among its variants). Where
    a bucket then holds members of several classes, members of different classes meet: everyone with everyone in buckets
-   up to ``SMALL``; larger ones are dealt again, by two and three bands, so that only texts that share more samples meet.
+   up to ``SMALL``; larger ones are dealt again, by two and three bands, so that texts that share more samples meet first.
+   What is of different classes in a bucket after that meets too, in salted blocks: no pair that shares a band is left out.
 4. Candidates are verified on their whole shingle sets; links of similarity ``MIN_SIMILARITY`` or more are closed to
    classes.
 
@@ -36,6 +37,7 @@ from cadenza.llm.components import components
 BANDS = 12
 ROWS = 4
 SMALL = 16
+BLOCK = 1024
 LEVELS = 3
 MIN_SIMILARITY = 0.8
 
@@ -168,6 +170,18 @@ def with_each_other(members: DataFrame, small: int) -> DataFrame:
         F.col("class") != F.col("b_class")) & alike_in_size("total", "b_total")).select(F.col("node").alias("a"), "b")
 
 
+def rest_of_pairs(members: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b`` of members of different classes, of whatever size the bucket is: one side is dealt to blocks of
+    about ``BLOCK`` members, the other goes to every block."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    one = members.select("bucket", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", "total", "class")
+    other = members.select(F.col("bucket").alias("of"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("of_block"),
+                           F.col("node").alias("b"), F.col("total").alias("b_total"), F.col("class").alias("b_class"))
+    return one.join(other, (F.col("bucket") == F.col("of")) & (F.col("block") == F.col("of_block")) & (
+        F.col("node") < F.col("b")) & (F.col("class") != F.col("b_class")) & alike_in_size("total", "b_total")).select(
+        F.col("node").alias("a"), "b")
+
+
 def in_classes(members: DataFrame, parts: DataFrame) -> DataFrame:
     """``members`` of buckets that hold several classes, with ``class`` and ``class_size``."""
     sizes = parts.groupBy("component").agg(F.count("*").alias("class_size"))
@@ -226,6 +240,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int
     links = verified(stored(with_leader(alone).distinct(), "near-pairs"), texts, keyed, idf, min_similarity)
     parts = components(links)
     company = members.select("node", F.col("bucket").alias("second"))
+    first = members
     for level in range(1, levels + 1):
         mixed = in_classes(members, parts)
         if mixed.limit(1).count() == 0:
@@ -241,6 +256,13 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int
         links = stored(links.unionByName(verified(pairs, texts, keyed, idf, min_similarity)).dropDuplicates(["a", "b"]),
                        "near-links")
         parts = components(links)
+    # smaller buckets have had all of their pairs in the first round
+    rest = in_classes(first.filter(F.col("n") > small), parts)
+    if rest.limit(1).count():
+        pairs = stored(rest_of_pairs(rest).distinct(), "near-pairs")
+        links = stored(links.unionByName(verified(pairs, texts, keyed, idf, min_similarity)).dropDuplicates(["a", "b"]),
+                       "near-links")
+        parts = components(links)
     named = texts.select("node", "k1", "k2").join(parts, "node", "left").select(
         "node", "k1", "k2", F.coalesce("component", "node").alias("class"))
     ids = keyed.select("row", "doc_id")

@@ -88,3 +88,20 @@ def test_odd_rows_have_classes_and_one_of_each_stays(documents):
 
 def test_no_rows(no_documents):
     assert classes(no_documents).count() == 0 and keep_one(no_documents).count() == 0
+
+
+def test_families_without_their_original_are_found_in_buckets_that_stay_large(spark):
+    """One band only, so a bucket cannot be dealt again: its leader is alike to its own family alone."""
+    random.seed(5)
+    rows, truth = [], {}
+    for f in range(12):
+        own = [f"f{f}w{random.random()}" for _ in range(80)]
+        for _ in range(4):
+            truth[len(rows)] = f
+            rows.append((len(rows), " ".join(["same"] * 204 + own + [f"n{random.random()}"])))
+    docs = materialise(spark.createDataFrame(rows, "doc_id long, text string"), "test")
+    got = {r.doc_id: r.class_id for r in report(classes(docs, bands=1, rows=1, small=2)).collect()}
+    first = {}
+    for d, f in truth.items():
+        first.setdefault(f, d)
+    assert got == {d: first[f] for d, f in truth.items()}
