@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.llm import toxicity
 from cadenza.llm.classifier import classify
 from cadenza.llm.common import stored
+from cadenza.llm.lexical_search import search
 from cadenza.llm.line_dedup import line_classes
 from cadenza.llm.mixing import mix_counts
 from cadenza.llm.near_duplicates import classes, report
@@ -18,6 +20,7 @@ from cadenza.llm.quality_rules import judge
 from cadenza.llm.sharding import shard_documents
 from cadenza.llm.token_counts import count_tokens
 from cadenza.llm.warc import payload_report, read_archives, write_archives
+from cadenza.llm.whitening import whiten
 from cadenza.session import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,9 +29,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(function):
-    QUERIES[function.__name__] = function
-    return function
+def query(function=None, sql: str | None = None):
+    def add(function):
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLE[function.__name__] = sql
+        return function
+
+    return add(function) if function else add
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -105,3 +113,47 @@ def op10_warc(spark, folder):
     path = scratch_dir(spark, "warc")
     write_archives(table(spark, folder, "pages"), path)
     return payload_report(read_archives(spark, path))
+
+
+@query
+def op11_whitening(spark, folder):
+    """Every usable vector's coordinates along the sixteen largest components, with unit variance."""
+    return whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@query
+def op12_toxicity(spark, folder):
+    """Toxicity score of every document; a quarter of the labels is held out."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
+@query(sql=r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM words WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sized),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM asked) GROUP BY term), total),
+scored AS (
+    SELECT item_id, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // length))))) AS BIGINT) AS score
+    FROM asked JOIN weight USING (term) JOIN tf USING (term), total GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op13_lexical_search(spark, folder):
+    """The ten best documents of every benchmark item."""
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10)
