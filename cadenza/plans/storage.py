@@ -18,7 +18,8 @@ from cadenza.session import scratch_dir
 from cadenza.sources.delimited import load_upload, peek, read_csv, write_csv
 from cadenza.sources.metrics_store import read_metrics, write_metrics
 from cadenza.sources.tables import append, create_table, load_summary, replace_rows, run_sql, to_schema, upsert
-from cadenza.streaming.interactions import interactions, latest_tracks, read_latest, write_latest, write_log
+from cadenza.streaming.interactions import interactions, latest_tracks, once, read_latest, write_latest, write_log
+from cadenza.streaming.latest import ListTable, kept_tracks, write_lists
 
 
 @query("""
@@ -183,3 +184,36 @@ def stream_last_interactions(spark, folder):
     lists = latest_tracks(interactions(_event_stream(spark, folder), _COUNTED), KEPT_INTERACTIONS)
     write_latest(lists, f"{base}/lists", f"{base}/checkpoint").awaitTermination()
     return read_latest(spark, f"{base}/lists").withColumn("tracks", F.array_join("tracks", ","))
+
+
+def _delivered_twice(spark, folder):
+    return _event_stream(spark, folder).unionByName(_event_stream(spark, folder))
+
+
+@query("""
+    SELECT user_id::VARCHAR AS user_id, props->>'$.k' AS track_id, event_type AS action, event_id
+    FROM events WHERE event_type IN ('click', 'purchase')
+""")
+def stream_log_of_repeats(spark, folder):
+    """Every event is delivered twice; the log has it once."""
+    base = scratch_dir(spark, "log")
+    counted = once(interactions(_delivered_twice(spark, folder), _COUNTED))
+    write_log(counted, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(counted.schema).parquet(f"{base}/rows").drop("ts")
+
+
+@query("""
+    WITH latest AS (
+        SELECT user_id, props->>'$.k' AS track_id, ts, event_id FROM events WHERE event_type IN ('click', 'purchase')
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 10)
+    SELECT user_id::VARCHAR AS user_id, string_agg(track_id, ',' ORDER BY ts, event_id) AS tracks, arg_max(event_id, (ts, event_id)) AS last_event_id
+    FROM latest GROUP BY user_id
+    HAVING max(ts) > (SELECT max(ts) FROM events WHERE event_type IN ('click', 'purchase')) - INTERVAL 2 DAY
+""")
+def stream_kept_tracks(spark, folder):
+    """Lists of users with an event in the last two days, kept as state; every event is delivered twice."""
+    base = scratch_dir(spark, "kept")
+    lists = kept_tracks(interactions(_delivered_twice(spark, folder), _COUNTED), 10, ttl_seconds=2 * 86_400)
+    target = ListTable(f"{base}/lists", every=1)
+    write_lists(lists, target, f"{base}/checkpoint").awaitTermination()
+    return target.read(spark).select("user_id", F.array_join("tracks", ",").alias("tracks"), "last_event_id")

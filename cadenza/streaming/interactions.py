@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cadenza.operators.clean import first_per_key
 from cadenza.operators.recommend import COUNTED_ACTIONS, KEPT_INTERACTIONS
 
 DEFAULT_USER = "anonymous"
@@ -35,6 +36,16 @@ def rejected(events: DataFrame) -> DataFrame:
     return events.filter(F.col("track_id").isNull() | F.col("ts").isNull() | F.col("event_id").isNull())
 
 
+def once(events: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Events that can be ordered, each event id once. On a stream the ids are kept as state until the watermark, the
+    latest time seen less ``delay``, has passed them; events that come later than that are left out, since they can no
+    longer be told from repeats. Works on batch and stream."""
+    placed = events.filter(F.col("ts").isNotNull() & F.col("event_id").isNotNull())
+    if not placed.isStreaming:
+        return first_per_key(placed, ["event_id"], ["ts", "user_id", "track_id"])
+    return placed.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
 def write_log(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append counted interactions to a Parquet log, exactly once."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
@@ -52,20 +63,26 @@ def _cut_batches(n: int):
     def cut(batches):
         for batch in batches:
             latest = batch.sort_values(["ts_us", "event_id"], ascending=False, kind="stable")
-            yield latest.groupby("user_id", sort=False).head(n)
+            yield latest.drop_duplicates(["user_id", "event_id"]).groupby("user_id", sort=False).head(n)
 
     return cut
 
 
+def latest_of(held: list[tuple], batches, n: int) -> list[tuple]:
+    """The latest ``n`` of (time, event, track) triples and new rows, oldest first. An event that comes again is one event:
+    it is either still held or older than all that are."""
+    for batch in batches:
+        rows = zip(batch["ts_us"].tolist(), batch["event_id"].tolist(), batch["track_id"].tolist())
+        newest = {event: (int(time), int(event), track) for time, event, track in sorted([*held, *rows], key=lambda x: x[:2])}
+        held = sorted(newest.values(), key=lambda x: x[:2])[-n:]
+    return held
+
+
 def _keep_latest(n: int):
     def update(key, batches, state: GroupState):
         import pandas as pd
 
-        held = list(zip(*state.get)) if state.exists else []
-        for batch in batches:
-            held += zip(batch["ts_us"].tolist(), batch["event_id"].tolist(), batch["track_id"].tolist())
-            held = sorted(held)[-n:]
-        held = [(int(a), int(b), c) for a, b, c in held]
+        held = latest_of(list(zip(*state.get)) if state.exists else [], batches, n)
         state.update(tuple(list(x) for x in zip(*held)))
         yield pd.DataFrame({
             "user_id": [key[0]], "tracks": [[c for _, _, c in held]], "last_event_id": [held[-1][1]],
