@@ -144,7 +144,8 @@ def drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], buck
     )
     a = bucket_counts(reference, edges).withColumnRenamed("rows", "a")
     b = bucket_counts(current, edges).withColumnRenamed("rows", "b")
-    joined = F.broadcast(cells).join(a, ["column", "bucket"], "left").join(b, ["column", "bucket"], "left").na.fill(
+    # counts of a few buckets per column on every side
+    joined = cells.join(F.broadcast(a), ["column", "bucket"], "left").join(F.broadcast(b), ["column", "bucket"], "left").na.fill(
         0, subset=["a", "b"]
     )
     whole = Window.partitionBy("column")

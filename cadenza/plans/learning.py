@@ -98,8 +98,8 @@ def all_predictions(spark, folder):
     """Saved models, loaded again, side by side on every track."""
     tracks = _tracks(spark, folder)
     base = scratch_dir(spark, "models")
-    energy, _ = train_regressor(tracks, "energy", "track_id", energy_features(tracks), trees=20)
-    popularity, _ = train_regressor(tracks, "popularity", "track_id", trees=20)
+    energy, _ = train_regressor(tracks, "energy", "track_id", energy_features(tracks))
+    popularity, _ = train_regressor(tracks, "popularity", "track_id")
     save(energy, f"{base}/energy")
     save(popularity, f"{base}/popularity")
     scored = score_all(tracks, energy=load(f"{base}/energy"), popularity=load(f"{base}/popularity"))
@@ -109,7 +109,7 @@ def all_predictions(spark, folder):
 
 @query()
 def importance_ranking(spark, folder):
-    model, _ = train_regressor(_tracks(spark, folder), "popularity", "track_id", trees=20)
+    model, _ = train_regressor(_tracks(spark, folder), "popularity", "track_id")
     return importances(model)
 
 
@@ -117,7 +117,7 @@ def importance_ranking(spark, folder):
 def columns_by_importance(spark, folder):
     """Tracks reduced to the features that matter to a forest."""
     tracks = _tracks(spark, folder)
-    model, _ = train_regressor(tracks, "popularity", "track_id", trees=20)
+    model, _ = train_regressor(tracks, "popularity", "track_id")
     weights = {r["feature"]: r["importance"] for r in importances(model, len(feature_names(model))).collect()}
     return select_by_importance(tracks, weights, ["track_id", "genre"], 0.05)
 
@@ -166,14 +166,14 @@ def model_training_report(spark, folder):
         table(spark, folder, "part"), F.col("track_id") == F.col("p_partkey"), "left"
     ).select("track_id", "vector", "genre", (F.col("p_size") * 2.0).alias("popularity"),
              (F.col("p_retailprice") / 3000).alias("energy"))
-    return train_all(tracks, features=features, trees=20).select("model", "success", "error", "metric", "value")
+    return train_all(tracks, features=features).select("model", "success", "error", "metric", "value")
 
 
 @query()
 def stream_scores(spark, folder):
     """A saved clustering applied to rows as they arrive."""
     rows = _embedded(spark, folder)
-    model = train_clusters(rows, 2, _embedding_features(rows), restarts=2)
+    model = train_clusters(rows, 2, _embedding_features(rows))
     schema = table(spark, folder, "embeddings").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/embeddings.parquet*").select(
         F.col("vec_id").alias("track_id"), F.col("embedding").alias("vector"))

@@ -14,6 +14,7 @@ from cadenza.operators.profile import (
     iqr_bounds, missing_profile, modes, most_frequent_first, outlier_report, repeated_keys, small_classes,
     target_stats, value_counts,
 )
+from cadenza.operators.shift import auc, domain_report, shared_rows, weak_pairs
 from cadenza.operators.validate import (
     accuracy_gate, drift, evaluation_report, integrity_report, key_report, split_report, validation_report,
     verdict, weak_segments,
@@ -467,3 +468,68 @@ def silhouette_per_point(spark, folder):
 @query(f"WITH {_SILHOUETTE_SQL} SELECT round(avg(silhouette), 6) AS silhouette_score, count(*) AS points FROM points")
 def silhouette_score(spark, folder):
     return rounded(silhouette(table(spark, folder, "embeddings"), "vec_id", "embedding", "label"), silhouette_score=6)
+
+
+@query("""
+    WITH a AS (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 7 > 0),
+    b AS (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 7 = 0)
+    SELECT c_nationkey, c_mktsegment, train_rows, test_rows
+    FROM (SELECT c_nationkey, c_mktsegment, count(*) AS train_rows FROM a GROUP BY 1, 2)
+    JOIN (SELECT c_nationkey, c_mktsegment, count(*) AS test_rows FROM b GROUP BY 1, 2) USING (c_nationkey, c_mktsegment)
+""")
+def rows_in_both_parts(spark, folder):
+    rows = table(spark, folder, "customer")
+    test = F.col("c_custkey") % 7 == 0
+    columns = ["c_nationkey", "c_mktsegment"]
+    return shared_rows(rows.filter(~test).select(*columns), rows.filter(test).select(*columns))
+
+
+@query("""
+    WITH s AS (SELECT round(l_extendedprice, -2) AS s, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS y FROM lineitem),
+    g AS (SELECT s, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY s),
+    r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under FROM g)
+    SELECT round((sum(pos * (under + neg / 2)) / (sum(pos)::DOUBLE * sum(neg)))::DOUBLE, 9) AS auc,
+           sum(pos)::BIGINT AS positives, sum(neg)::BIGINT AS negatives
+    FROM r
+""")
+def auc_of_scores(spark, folder):
+    """The rank statistic behind the domain classifier, on a score with many ties."""
+    lines = table(spark, folder, "lineitem").select(
+        F.round("l_extendedprice", -2).alias("score"), F.when(F.col("l_quantity") > 25, 1).otherwise(0).alias("label"))
+    return rounded(auc(lines, "score", "label"), auc=9)
+
+
+@query()
+def multivariate_drift(spark, folder):
+    """Whether open and closed order lines can be told apart by four columns together."""
+    lines = table(spark, folder, "lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    is_open = F.col("l_linestatus") == "O"
+    return domain_report(lines.filter(is_open), lines.filter(~is_open),
+                         ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "key")
+
+
+_PAIR_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query(f"""
+    WITH p AS (
+        SELECT *, CASE WHEN l_quantity > 40 AND l_discount > 0.07 THEN 1 WHEN l_orderkey % 20 = 0 THEN 1 ELSE 0 END AS wrong FROM lineitem),
+    e AS (SELECT {", ".join(f"quantile_cont({c}, [0.25, 0.5, 0.75]) AS e_{c}" for c in _PAIR_FEATURES)} FROM p),
+    long AS ({" UNION ALL ".join(
+        f"SELECT p.rowid AS r, wrong, '{c}' AS f, {i} AS i, len(list_filter(list_distinct(e_{c}), lambda x: {c} > x)) AS bucket FROM (SELECT row_number() OVER () AS rowid, * FROM p) p, e"
+        for i, c in enumerate(_PAIR_FEATURES))}),
+    single AS (SELECT f, bucket, count(*) AS rows, avg(wrong) AS rate FROM long GROUP BY ALL HAVING count(*) >= 100),
+    pairs AS (
+        SELECT a.f AS feature_a, a.bucket AS bucket_a, b.f AS feature_b, b.bucket AS bucket_b, count(*) AS rows, avg(a.wrong) AS error_rate
+        FROM long a JOIN long b ON a.r = b.r AND a.i < b.i GROUP BY ALL HAVING count(*) >= 100)
+    SELECT feature_a, bucket_a::INTEGER AS bucket_a, feature_b, bucket_b::INTEGER AS bucket_b, pairs.rows, round(error_rate, 8) AS error_rate,
+           round(error_rate - greatest(x.rate, y.rate), 8) AS excess
+    FROM pairs JOIN single x ON feature_a = x.f AND bucket_a = x.bucket JOIN single y ON feature_b = y.f AND bucket_b = y.bucket
+    WHERE error_rate - greatest(x.rate, y.rate) >= 0.1
+""")
+def weak_feature_pairs(spark, folder):
+    """Order lines judged wrong where quantity and discount are both high: no single feature shows it as clearly."""
+    planted = (F.col("l_quantity") > 40) & (F.col("l_discount") > 0.07)
+    lines = table(spark, folder, "lineitem").withColumns({
+        "label": F.lit(0), "prediction": F.when(planted | (F.col("l_orderkey") % 20 == 0), 1).otherwise(0)})
+    return rounded(weak_pairs(lines, _PAIR_FEATURES, "label", "prediction"), error_rate=8, excess=8)

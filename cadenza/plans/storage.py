@@ -54,6 +54,29 @@ def csv_missing_tokens(spark, folder):
     return rounded(handle_missing(back, text=["p_name"], mean=["p_retailprice"], mode=[]), p_retailprice=6)
 
 
+@query("""
+    SELECT p_partkey, p_partkey + 9007199254740993 AS wide, p_partkey::HUGEINT + 99999999999999999999::HUGEINT AS widest,
+           p_size < 25 AS small, p_retailprice AS price, lpad(p_partkey::VARCHAR, 45, '7') AS digits
+    FROM part
+""")
+def csv_inferred_types(spark, folder):
+    """A file of whole numbers of all widths and of booleans: no digit is lost, and types follow the cells."""
+    part = table(spark, folder, "part").select(
+        "p_partkey", (F.col("p_partkey") + F.lit(9007199254740993)).alias("wide"),
+        (F.col("p_partkey").cast("decimal(38,0)") + F.lit("99999999999999999999").cast("decimal(38,0)")).alias("widest"),
+        F.when(F.col("p_size") < 25, "True").otherwise("FALSE").alias("small"), F.col("p_retailprice").alias("price"),
+        F.lpad(F.col("p_partkey").cast("string"), 45, "7").alias("digits"))
+    path = scratch_dir(spark, "types")
+    write_csv(part, path)
+    back = read_csv(spark, path, infer=True)
+    kinds = {f.name: f.dataType.simpleString() for f in back.schema.fields}
+    wanted = {"p_partkey": "int", "wide": "bigint", "widest": "decimal(38,0)", "small": "boolean", "price": "double",
+              "digits": "string"}
+    if kinds != wanted:
+        raise ValueError(f"inferred {kinds}")
+    return back.withColumn("p_partkey", F.col("p_partkey").cast("long"))
+
+
 @query("""
     SELECT 'p' || p_partkey AS track_id, p_name AS track_name, p_brand AS artist_name,
            coalesce(CASE WHEN p_size = 7 THEN NULL ELSE p_size END, (SELECT median(p_size) FROM part WHERE p_size <> 7))::DOUBLE AS energy,

@@ -50,25 +50,39 @@ def missing_tokens_to_null(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS
 
 
 def infer_numbers(df: DataFrame) -> DataFrame:
-    """Text columns that hold only whole numbers become int or bigint, those with only numbers double; one scan."""
+    """Types of text columns, by all of their cells; one scan.
+
+    Only whole numbers: int, bigint, or decimal(38,0) as the widest asks for. Only numbers: double. Only true and false, in
+    any case: boolean. Anything else, whole numbers of more than 38 digits among it, stays text, so that no digit is lost.
+    """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return df
     tests = {}
     for i, c in enumerate(names):
         v = F.trim(F.col(f"`{c}`"))
-        whole = v.rlike(r"^[+-]?[0-9]{1,18}$")
+        whole = v.rlike(r"^[+-]?[0-9]+$")
+        fits = lambda kind: F.coalesce(v.try_cast(kind).isNotNull(), F.lit(False))  # noqa: B023, E731
         tests[f"n{i}"] = F.count(v)
-        tests[f"i{i}"] = F.count_if(whole & F.coalesce(v.try_cast("int").isNotNull(), F.lit(False)))
-        tests[f"l{i}"] = F.count_if(whole)
+        tests[f"w{i}"] = F.count_if(whole)
+        for key, kind in (("i", "int"), ("l", "bigint"), ("m", "decimal(38,0)")):
+            tests[f"{key}{i}"] = F.count_if(whole & fits(kind))
         tests[f"d{i}"] = F.count_if(F.coalesce(to_number(v).isNotNull(), F.lit(False)))
+        # a double would change these: whole numbers among fractions that a double does not hold
+        tests[f"x{i}"] = F.count_if(whole & (F.length(F.regexp_replace(v, "^[+-]?0*", "")) > 15)
+                                    & (v.try_cast("double").try_cast("decimal(38,0)") != v.try_cast("decimal(38,0)")))
+        tests[f"b{i}"] = F.count_if(F.lower(v).isin("true", "false"))
     row = df.agg(*[e.alias(k) for k, e in tests.items()]).first()
     kinds = {}
     for i, c in enumerate(names):
         n = row[f"n{i}"]
-        kind = next((t for t, k in (("int", "i"), ("bigint", "l"), ("double", "d")) if n and row[f"{k}{i}"] == n), None)
-        if kind:
-            kinds[c] = F.trim(F.col(f"`{c}`")).try_cast(kind)
+        if not n:
+            continue
+        value = F.trim(F.col(f"`{c}`"))
+        for key, kind in (("i", "int"), ("l", "bigint"), ("m", "decimal(38,0)"), ("d", "double"), ("b", "boolean")):
+            if row[f"{key}{i}"] == n and not (kind == "double" and (row[f"w{i}"] == n or row[f"x{i}"])):
+                kinds[c] = value.try_cast(kind) if kind != "boolean" else F.lower(value) == "true"
+                break
     return df.withColumns(kinds) if kinds else df
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,21 +121,55 @@ def project(df: DataFrame, columns: Sequence[str] = LOADED_COLUMNS, limit: int |
     return chosen if limit is None else chosen.orderBy(*order).limit(limit)
 
 
+class VersionConflict(RuntimeError):
+    """Another writer has published the version first."""
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Give a completely written folder its final name, which must not exist: :class:`VersionConflict` if it does.
+
+    The file system's rename without overwriting is the commit, so of two writers one wins. It is one step on HDFS and
+    local disks; stores that copy instead of renaming need a committer of their own.
+    """
+    jvm = spark._jvm
+    names = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    names[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(path(staged), path(target), names)
+    except Exception as e:
+        if files.exists(path(target)) and files.exists(path(staged)):
+            raise VersionConflict(target) from e
+        raise
+
+
 def replace_by_upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str, columns: Sequence[str],
-                      latest: Sequence[Column | str], id: str = "id", created: str = "created_at") -> str:
+                      latest: Sequence[Column | str], id: str = "id", created: str = "created_at", attempts: int = 10) -> str:
     """Upsert into the newest version of the Parquet table under ``path`` and return the new version's folder.
 
-    Each version is a folder of its own, written in full before :func:`current_version` finds it, so readers never see
-    half a table. New rows get ids above the largest one (unique, not gapless) and the current time.
+    Each version is a folder of its own, written in full under another name before :func:`publish` makes it visible, so
+    readers never see half a table. If another writer has published that version meanwhile, the upsert starts again on
+    the other's result: nothing of either is lost. New rows get ids above the largest one (unique, not gapless) and the
+    current time.
     """
-    now = current_version(spark, path)
-    existing = spark.read.parquet(now)
-    top = existing.agg(F.max(id)).first()[0] or 0
-    new_row = {id: F.monotonically_increasing_id() + F.lit(top + 1), created: F.current_timestamp()}
-    merged = upsert(existing, incoming, key, columns, latest, {c: v for c, v in new_row.items() if c in existing.columns})
-    target = f"{path.rstrip('/')}/version={int(now.rsplit('=', 1)[1]) + 1}"
-    merged.write.parquet(target)
-    return target
+    for _ in range(attempts):
+        now = current_version(spark, path)
+        existing = spark.read.parquet(now)
+        top = existing.agg(F.max(id)).first()[0] or 0
+        new_row = {id: F.monotonically_increasing_id() + F.lit(top + 1), created: F.current_timestamp()}
+        merged = upsert(existing, incoming, key, columns, latest, {c: v for c, v in new_row.items() if c in existing.columns})
+        base, staged = path.rstrip("/"), f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+        merged.write.parquet(staged)
+        target = f"{base}/version={int(now.rsplit('=', 1)[1]) + 1}"
+        try:
+            publish(spark, staged, target)
+            return target
+        except VersionConflict:
+            place = spark._jvm.org.apache.hadoop.fs.Path(staged)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    raise VersionConflict(f"{attempts} times another writer was first in {path}")
 
 
 def current_version(spark: SparkSession, path: str) -> str:
