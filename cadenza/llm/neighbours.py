@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.llm.common import narrow, stored
 
@@ -99,8 +100,17 @@ def matrix(column: pa.Array, length: int) -> np.ndarray:
 
 
 def orderable(ids: np.ndarray) -> np.ndarray:
-    """Ids to break ties by; NULL comes as NaN and sorts last."""
-    return np.where(np.isnan(ids), np.inf, ids) if ids.dtype.kind == "f" else ids
+    """Order keys to break ties by, as numpy sorts them."""
+    return np.asarray(ids, dtype=str)
+
+
+def order_key(id: str, kind: T.DataType) -> Column:
+    """Text that sorts like the ids, NULL last. In numpy ids are this text: whole numbers beside a NULL would become
+    floating point there."""
+    text = F.col(id).cast("string")
+    if isinstance(kind, T.IntegralType):
+        text = F.lpad((F.col(id).cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return F.coalesce(text, F.lit("\uffff"))
 
 
 def usable(vector: Column) -> Column:
@@ -237,7 +247,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id: str = "vec_id", ve
     the column ``id``; a row's own is left out."""
     spark = vectors.sparkSession
     read = narrow(vectors, id=id, vector=vector).filter(usable(F.col("vector")))
-    sized = read.select(F.monotonically_increasing_id().alias("at"), "id", "vector")
+    asked = F.coalesce(is_query, F.lit(False))
+    sized = read.select(F.monotonically_increasing_id().alias("at"), order_key("id", read.schema["id"].dataType).alias("key"),
+                        "vector", F.col("id").alias("own"), asked.alias("asked")).withColumnRenamed("key", "id")
     lengths = read.groupBy(F.size("vector").alias("length")).agg(
         F.count("*").alias("n"),
         F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).alias("m"))
@@ -259,42 +271,57 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id: str = "vec_id", ve
     def in_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *[pa.array(np.searchsorted(bounds[c], batch.column(3 + c).to_numpy(), "left"),
+                [*batch.columns[:5], *[pa.array(np.searchsorted(bounds[c], batch.column(5 + c).to_numpy(), "left"),
                                                 pa.int32()) for c in range(CURVES)]],
-                ["at", "id", "vector", *[f"slot{c}" for c in range(CURVES)]])
+                ["at", "id", "vector", "own", "asked", *[f"slot{c}" for c in range(CURVES)]])
 
     slots = [f"slot{c}" for c in range(CURVES)]
     placed = stored(keyed.mapInArrow(in_slots, fields + "".join(f", {s} int" for s in slots)), "neighbours-slots")
-    asked = F.coalesce(is_query, F.lit(False))
-    queries = placed.filter(asked)
-    chosen = queries.orderBy(F.xxhash64("at")).limit(sample).toPandas()
+    queries = placed.filter("asked")
+    chosen = queries.orderBy(F.xxhash64("at")).limit(sample).select("at", "vector", *slots).toPandas()
     if not len(chosen):
         return spark.createDataFrame([], f"query_id {kind.simpleString()}, rank int, vec_id {kind.simpleString()}, "
                                          "score double")
-    truth = ranked(placed.mapInArrow(
-        sample_scores(chosen[["at", "vector"]], length, k), f"query long, score double, id {kind.simpleString()}, "
+    truth = ranked(placed.select("at", "id", "vector", *slots).mapInArrow(
+        sample_scores(chosen[["at", "vector"]], length, k), "query long, score double, id string, "
         + ", ".join(f"{s} int" for s in slots)), k).toPandas()
     own = chosen.set_index("at")[slots]
     gaps = np.min(np.abs(truth[slots].to_numpy() - own.loc[truth["query"]].to_numpy()), axis=1) if len(truth) else [0]
-    reach = SLOTS if total <= k + 1 else int(np.sort(gaps)[min(len(gaps) - 1, int(np.ceil(target * len(gaps))) - 1)])
-
-    long_form = placed.select("at", "id", "vector", F.posexplode(F.array(*slots)).alias("curve", "slot"))
+    reach = int(np.sort(gaps)[min(len(gaps) - 1, int(np.ceil(target * len(gaps))) - 1)])
+    merged = stored(ranked(by_windows(placed, slots, reach, k, tile), k), "neighbours-merged")
+    while reach < SLOTS:  # windows of a few queries may hold fewer rows than are asked for: these search wider
+        full = merged.filter(F.col("rank") == min(k, total - 1)).select(F.col("query").alias("at"))
+        short = stored(queries.select("at").join(full, "at", "left_anti"), "neighbours-short")
+        if total < 2 or not short.limit(1).count():
+            break
+        reach = min(SLOTS, max(8, 4 * reach))
+        again = placed.drop("asked").join(short.withColumn("asked", F.lit(True)), "at", "left").withColumn(
+            "asked", F.coalesce("asked", F.lit(False)))
+        more = ranked(by_windows(again, slots, reach, k, tile), k)
+        merged = stored(merged.join(short.withColumnRenamed("at", "query"), "query", "left_anti").unionByName(more),
+                        "neighbours-merged")
+    names = placed.select("at", "own")
+    return merged.join(names.toDF("query", "query_id"), "query").join(names.toDF("at", "vec_id"), "at").select(
+        "query_id", "rank", "vec_id", "score")
+
+
+def by_windows(placed: DataFrame, slots: list[str], reach: int, k: int, tile: int) -> DataFrame:
+    """(query, at, id, score): the best rows of each tile within ``reach`` slots of the rows that are ``asked``."""
+    spark = placed.sparkSession
+    long_form = placed.select("at", "id", "vector", "asked", F.posexplode(F.array(*slots)).alias("curve", "slot"))
     counts = {(r["curve"], r["slot"]): (r["n"], r["q"]) for r in placed.select(
-        "id", F.posexplode(F.array(*slots)).alias("curve", "slot")).groupBy("curve", "slot").agg(
-        F.count("*").alias("n"), F.sum(asked.cast("int")).alias("q")).collect()}
+        "asked", F.posexplode(F.array(*slots)).alias("curve", "slot")).groupBy("curve", "slot").agg(
+        F.count("*").alias("n"), F.sum(F.col("asked").cast("int")).alias("q")).collect()}
     homes, visits = tiles(counts, CURVES, SLOTS, reach, tile)
     shape = "curve int, slot int, block int, split int, parts int"
     left = long_form.join(F.broadcast(spark.createDataFrame(homes, shape)), ["curve", "slot"]).select(
         "curve", "block", F.pmod(F.xxhash64("at"), "split").cast("int").alias("row_tile"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("query_tile"), "slot", "at", "id", "vector")
-    right = long_form.filter(asked).join(F.broadcast(spark.createDataFrame(visits, shape)), ["curve", "slot"]).select(
+    right = long_form.filter("asked").join(F.broadcast(spark.createDataFrame(visits, shape)), ["curve", "slot"]).select(
         "curve", "block", F.explode(F.sequence(F.lit(0), F.col("split") - 1)).alias("row_tile"),
         F.pmod(F.xxhash64("at"), "parts").cast("int").alias("query_tile"), "slot", "at", "vector").toDF(
         "curve", "block", "row_tile", "query_tile", "slot", "at", "vector")
     by = ["curve", "block", "row_tile", "query_tile"]
     found = stored(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        tile_search(k, reach), f"query long, at long, id {kind.simpleString()}, score double"), "neighbours-found")
-    merged = ranked(found.dropDuplicates(["query", "at"]), k)
-    names = queries.select(F.col("at").alias("query"), F.col("id").alias("query_id"))
-    return merged.join(names, "query").select(
-        "query_id", "rank", F.col("id").alias("vec_id"), "score")
+        tile_search(k, reach), "query long, at long, id string, score double"), "neighbours-found")
+    return found.dropDuplicates(["query", "at"])

@@ -36,7 +36,7 @@ CAPACITY = 2048
 SMALL = 256
 GROUPS = 64
 BLOCKS = 128
-PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id string, row long, piece int, start long, length long, ids_crc32 long"
 
 
 def cut_pieces(path: str, capacity: int = CAPACITY):
@@ -259,8 +259,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, small: int = SMALL, groups
 def encode_pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
                   capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents, stored, with a unique number ``at``."""
-    read = narrow(docs, doc_id=id, text=text).select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    pieces = read.mapInPandas(cut_pieces(path, capacity), PIECES)
+    read = narrow(docs, doc_id=id, text=text).select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    # ids are text in pandas, which would turn whole numbers beside a NULL into floating point
+    pieces = read.mapInPandas(cut_pieces(path, capacity), PIECES).withColumn(
+        "doc_id", F.col("doc_id").cast(docs.schema[id].dataType))
     return stored(pieces.withColumn("at", F.monotonically_increasing_id()), "packing-pieces")
 
 

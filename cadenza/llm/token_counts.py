@@ -72,7 +72,7 @@ def count_sections(path: str, spans: bool, rule: str):
         encode = encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            out = []
+            out, held = [], 0
             for i, ids in enumerate(encode.encode_all(texts)):
                 if spans:
                     starts, ends = (np.asarray(batch[c].iat[i] if batch[c].iat[i] is not None else [], dtype=np.int64)
@@ -89,9 +89,10 @@ def count_sections(path: str, spans: bool, rule: str):
                 else:
                     counts, crossing, named = counts[1:], crossing[1:], np.arange(n)
                 out.append((np.full(len(named), i), named, starts, ends, counts, crossing))
-                if sum(len(x[0]) for x in out[-1:]) > 100_000 or len(out) >= 2_000:
+                held += len(named)
+                if held > 100_000:
                     yield rows_of(batch, out)
-                    out = []
+                    out, held = [], 0
             if out:
                 yield rows_of(batch, out)
 
@@ -113,7 +114,9 @@ def count_tokens(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
         raise ValueError(f"rule must be one of {RULES}")
     columns = {"doc_id": id, "text": text} | ({"starts": starts, "ends": ends} if starts and ends else {})
     read = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in columns.items()])
-    kind = read.schema["doc_id"].dataType.simpleString()
-    return read.mapInPandas(
+    kind = read.schema["doc_id"].dataType
+    # pandas would turn whole numbers beside a NULL into floating point
+    return read.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
         count_sections(path, "starts" in columns, rule),
-        f"doc_id {kind}, section int, start long, end long, n_tokens long, n_crossing long")
+        "doc_id string, section int, start long, end long, n_tokens long, n_crossing long").withColumn(
+        "doc_id", F.col("doc_id").cast(kind))

@@ -86,7 +86,7 @@ def to_records(segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTE
             for p in batch.itertuples(index=False):
                 url = None if p.url is None else p.url.replace("\r", "%0D").replace("\n", "%0A")
                 common = {"WARC-Date": RECORD_DATE, "WARC-Target-URI": url,
-                          "X-Page-Id": None if pd.isna(p.page_id) else int(p.page_id)}
+                          "X-Page-Id": p.page_id}
                 first = {"WARC-Record-ID": record_id(p.row), **common, "Content-Type": "application/http;msgtype=response",
                          "WARC-Payload-Digest": f"sha1:{p.digest}"}
                 if not pd.isna(p.refers_row):
@@ -132,14 +132,16 @@ def write_archives(pages: DataFrame, path: str, id: str = "page_id", url: str =
     again = stored(sized.join(copied, "digest").filter("row <> refers_row").select("row", "refers_row"), "warc-revisits")
     decided = read.join(checked_broadcast(again), "row", "left").withColumn(
         "payload", F.when(F.col("refers_row").isNull(), F.col("payload")))
-    decided.select("row", "page_id", "url", "payload", "digest", "refers_row").mapInPandas(
+    # numbers are text in pandas, which would turn them into floating point beside a NULL
+    decided.select("row", F.col("page_id").cast("string").alias("page_id"), "url", "payload", "digest",
+                   F.col("refers_row").cast("string").alias("refers_row")).mapInPandas(
         to_records(segment_bytes), "value string").write.option("lineSep", RECORD_END).option(
         "compression", "gzip").option("maxRecordsPerFile", archive_records).text(path)
 
 
 FIELDS = ("WARC-Record-ID", "WARC-Type", "X-Page-Id", "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Refers-To",
           "WARC-Segment-Origin-ID", "WARC-Segment-Number", "WARC-Segment-Total-Length")
-PARSED = ("record_id string, type string, page_id long, url string, digest string, refers_to string, origin string, "
+PARSED = ("record_id string, type string, page_id string, url string, digest string, refers_to string, origin string, "
           "segment int, total long, block binary")
 
 
@@ -158,7 +160,7 @@ def records_of(data: bytes) -> Iterator[tuple]:
         at = end + 8 + n
         v = [head.get(f) for f in FIELDS]
         number = lambda x: None if x is None else int(x)
-        yield (v[0], v[1], number(v[2]), v[3], v[4], v[5], v[6], number(v[7]), number(v[8]), block)
+        yield (v[0], v[1], v[2], v[3], v[4], v[5], v[6], number(v[7]), number(v[8]), block)
 
 
 def parse_files(segmented: bool):
@@ -224,8 +226,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.sort_array(F.collect_list(part)).alias("parts"))
     return whole.unionByName(cut_up).select(
         "record_id", "head.type", "head.page_id", "head.url", "head.digest", "head.refers_to", "total", "parts"
-    ).mapInPandas(decode, "record_id string, type string, page_id long, url string, refers_to string, digest string, "
-                          "bytes long, payload binary")
+    ).mapInPandas(decode, "record_id string, type string, page_id string, url string, refers_to string, digest string, "
+                          "bytes long, payload binary").withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def payload_report(records: DataFrame) -> DataFrame:

@@ -69,3 +69,24 @@ def test_odd_vectors_take_no_part_and_few_are_all_returned(spark):
 
 def test_no_rows(spark):
     assert nearest(frame(spark, [0], [[1.0]]).limit(0), F.col("id") % 20 == 0, 5).count() == 0
+
+
+def test_single_vectors_beside_families_get_whole_lists(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 16))
+    x = np.concatenate([np.repeat(centres, 95, axis=0), rng.normal(size=(100, 16))])
+    found = nearest(frame(spark, range(2000), x), F.col("id") % 20 == 0, 20).collect()
+    for q in range(0, 2000, 20):
+        assert sorted(r["rank"] for r in found if r.query_id == q) == list(range(1, 21))
+    want = brute(x, np.arange(2000), range(0, 2000, 20), 20)
+    assert recall(found, want) >= 0.9
+
+
+def test_wide_ids_beside_a_missing_one(spark):
+    big = 9007199254740993
+    rows = [(big * 20, [1.0, 0.0]), (big, [0.9, 0.0]), (None, [0.8, 0.0]), (-3, [0.7, 0.0]), (-30, [0.7, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(nearest(df, F.col("id") == big * 20, 9).collect(), key=lambda r: r["rank"])
+    assert [(r.query_id, r.vec_id) for r in found] == [(big * 20, i) for i in (big, None, -30, -3)]
+    named = spark.createDataFrame([("b", [1.0]), ("a", [1.0]), (None, [2.0])], "vec_id string, embedding array<double>")
+    assert [r.vec_id for r in sorted(nearest(named, F.col("id") == "b", 9).collect(), key=lambda r: r["rank"])] == [None, "a"]
