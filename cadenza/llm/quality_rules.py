@@ -117,12 +117,9 @@ def likelihood_ratio(table: list[float], grams: str) -> Column:
     """Mean log-likelihood ratio of the n-grams of a document."""
     text = ",".join(f"{x:.5f}" for x in table)
     weights = F.split(F.lit(text), ",").cast("array<double>")  # folded into a literal once
-    total = F.aggregate(
-        grams, F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n")),
-        lambda a, g: F.struct((a["sum"] + F.coalesce(F.get(weights, g), F.lit(0.0))).alias("sum"),
-                              (a["n"] + g.isNotNull().cast("long")).alias("n")),
-        lambda a: F.when(a["n"] == 0, 0.0).otherwise(a["sum"] / a["n"]))
-    return total
+    total = F.aggregate(F.transform(grams, lambda g: F.coalesce(F.get(weights, g), F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
+    n = F.size(grams) - 1  # one of them is NULL
+    return F.when(n <= 0, 0.0).otherwise(total / n)
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id: str = "doc_id", text: str = "text",
