@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes what its predecessor kept and returns a DataFrame, which is written as Parquet and read again for the
-next one; all but the last return the columns of ``documents``.
+next one; all but the last return the columns of ``documents``. NULL and empty texts fail the quality rules, so later stages
+of a run do not see them; called by themselves, they treat them as their operators do. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line, up to one edit, go; documents stay."""
+    """Lines that repeat an earlier line, up to one edit or a few edits of words, go; documents stay, even if empty."""
     return drop_repeated_lines(docs, length="n_chars")
 
 
