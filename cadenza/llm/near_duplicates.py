@@ -7,10 +7,13 @@
 2. ``BANDS`` bands of ``ROWS`` improved consistent weighted samples: texts of similarity 0.8 share a band with a chance
    of 99.8 %. Equal texts are one node from here on.
 3. Candidates grow with the number of members of a band bucket, not with its square. First, in each bucket everyone
-   meets the leader (the member with the most company over all its bands, so the original among its variants). Where
-   a bucket then holds members of several classes, members of different classes meet: everyone with everyone in buckets
-   up to ``SMALL``; larger ones are dealt again, by two and three bands, so that texts that share more samples meet first.
-   What is of different classes in a bucket after that meets too, in salted blocks: no pair that shares a band is left out.
+   meets the leader (the member with the most company over all its bands, so the original among its variants). Where a
+   bucket then holds members of several classes, members of different classes meet: everyone with everyone in buckets up
+   to ``SMALL``; in larger ones everyone meets a leader of the next class. Members of large buckets that hold several
+   classes even then get the prefix filter, whole: with shingles in one order for all, the rarest among these members
+   first, two texts of similarity s have a first common shingle, and from there on each holds s / (1 + s) of both total
+   weights. So only members of different classes that share such a shingle are compared. Texts that share a long passage
+   and nothing else never meet, and no pair that shares a band is left out.
 4. Candidates are verified on their whole shingle sets; links of similarity ``MIN_SIMILARITY`` or more are closed to
    classes.
 
@@ -38,7 +41,8 @@ BANDS = 12
 ROWS = 4
 SMALL = 16
 BLOCK = 1024
-LEVELS = 3
+#: Bits of the buckets in which the order of shingles is counted.
+ORDER_BITS = 20
 MIN_SIMILARITY = 0.8
 
 
@@ -144,19 +148,57 @@ def similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["a", "b", "similarity"])
 
 
+def order_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: in how many sets each bucket of shingles occurs."""
+    total = np.zeros(1 << ORDER_BITS, dtype=np.int64)
+    for batch in batches:
+        for hashes in batch.column(0):
+            places = np.frombuffer(hashes.as_buffer(), np.uint64) >> np.uint64(S.BITS - ORDER_BITS)
+            total[np.unique(places).astype(np.int64)] += 1
+    found = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["bucket", "n"])
+
+
+def prefixes(counts, min_similarity: float):
+    """A function for ``mapInArrow``: (node, hashes, weights) becomes (node, shingle, rest, total) for the shingles that can
+    be the first one in common with a text alike enough. ``rest`` is the weight from this shingle on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = counts.value
+        for batch in batches:
+            for node, hashes, weights in zip(*[batch.column(i) for i in range(3)]):
+                h = np.frombuffer(hashes.as_buffer(), np.uint64)
+                w = np.frombuffer(weights.as_buffer(), np.float32).astype(np.float64)
+                order = np.lexsort((h, table[(h >> np.uint64(S.BITS - ORDER_BITS)).astype(np.int64)]))
+                rest = np.cumsum(w[order][::-1])[::-1]
+                keep = int(np.count_nonzero(rest >= (min_similarity - 1e-6) * w.sum()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(keep, node.as_py(), np.int64)), pa.array(h[order[:keep]].view(np.int64)),
+                     pa.array(rest[:keep]), pa.array(np.full(keep, w.sum()))], ["node", "shingle", "rest", "total"])
+
+    return run
+
+
 def alike_in_size(x: str, y: str):
     """Whether two total weights allow the similarity at all."""
     return F.least(x, y) >= (MIN_SIMILARITY - 1e-6) * F.greatest(x, y)
 
 
-def with_leader(members: DataFrame) -> DataFrame:
-    """Pairs ``a`` < ``b``: every member of a bucket with its leader, if they are of different classes. The leader is of
-    the largest class there, and has the most company in it. ``members`` has ``bucket``, ``node``, ``total``,
-    ``company``, ``class`` and ``class_size``."""
-    leaders = members.groupBy("bucket").agg(F.max(F.struct(
+def leaders_of(members: DataFrame) -> DataFrame:
+    """Of each bucket the leader: of the largest class there, the one with the most company."""
+    return members.groupBy("bucket").agg(F.max(F.struct(
         "class_size", "company", (-F.col("node")).alias("minus"), "total", "class")).alias("top")).select(
         "bucket", (-F.col("top.minus")).alias("leader"), F.col("top.total").alias("leader_total"),
         F.col("top.class").alias("leader_class"))
+
+
+def with_leader(members: DataFrame, next_class: bool = False) -> DataFrame:
+    """Pairs ``a`` < ``b``: every member of a bucket with its leader, if they are of different classes; with
+    ``next_class`` the leader is one of those that are not of the first leader's class. ``members`` has ``bucket``,
+    ``node``, ``total``, ``company``, ``class`` and ``class_size``."""
+    leaders = leaders_of(members)
+    if next_class:
+        leaders = leaders_of(members.join(leaders, "bucket").filter("class <> leader_class").select(*members.columns))
     return members.join(leaders, "bucket").filter(
         (F.col("class") != F.col("leader_class")) & alike_in_size("total", "leader_total")).select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
@@ -170,16 +212,32 @@ def with_each_other(members: DataFrame, small: int) -> DataFrame:
         F.col("class") != F.col("b_class")) & alike_in_size("total", "b_total")).select(F.col("node").alias("a"), "b")
 
 
-def rest_of_pairs(members: DataFrame) -> DataFrame:
-    """Pairs ``a`` < ``b`` of members of different classes, of whatever size the bucket is: one side is dealt to blocks of
-    about ``BLOCK`` members, the other goes to every block."""
+def rest_of_pairs(members: DataFrame, texts: DataFrame, keyed: DataFrame, idf, min_similarity: float) -> DataFrame:
+    """Pairs ``a`` < ``b`` of ``members`` (``node``, ``class``) of different classes that the prefix filter leaves.
+
+    A shingle's members are dealt to blocks of about ``BLOCK`` on one side and go to every block on the other.
+    """
+    nodes = stored(members.groupBy("node").agg(F.first("class").alias("class")), "near-rest")
+    shingled = sets_of(nodes, texts, keyed, idf)
+    counts = np.zeros(1 << ORDER_BITS, dtype=np.int64)
+    rows = shingled.select("hashes").mapInArrow(order_counts, "bucket int, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")).toPandas()
+    counts[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    order = members.sparkSession.sparkContext.broadcast(counts)
+    heads = stored(shingled.select("node", "hashes", "weights").mapInArrow(
+        prefixes(order, min_similarity), "node long, shingle long, rest double, total double").join(nodes, "node"), "near-heads")
+    shared = heads.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias(
+        "high")).filter("low <> high").select("shingle", "n")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    one = members.select("bucket", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", "total", "class")
-    other = members.select(F.col("bucket").alias("of"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("of_block"),
-                           F.col("node").alias("b"), F.col("total").alias("b_total"), F.col("class").alias("b_class"))
-    return one.join(other, (F.col("bucket") == F.col("of")) & (F.col("block") == F.col("of_block")) & (
-        F.col("node") < F.col("b")) & (F.col("class") != F.col("b_class")) & alike_in_size("total", "b_total")).select(
-        F.col("node").alias("a"), "b")
+    placed = stored(heads.join(shared, "shingle"), "near-heads")
+    one = placed.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).drop("n")
+    other = placed.select(F.col("shingle").alias("of"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("of_block"),
+                          F.col("node").alias("b"), F.col("rest").alias("b_rest"), F.col("total").alias("b_total"),
+                          F.col("class").alias("b_class"))
+    enough = (min_similarity - 1e-6) / (1 + min_similarity)
+    return one.join(other, (F.col("shingle") == F.col("of")) & (F.col("block") == F.col("of_block")) & (
+        F.col("node") < F.col("b")) & (F.col("class") != F.col("b_class")) & (
+        F.least("rest", "b_rest") >= enough * (F.col("total") + F.col("b_total")))).select(F.col("node").alias("a"), "b")
 
 
 def in_classes(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -202,15 +260,20 @@ def with_company(rows: DataFrame) -> DataFrame:
     return stored(shared.join(company, "node"), "near-members")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, keyed: DataFrame, idf, min_similarity: float) -> DataFrame:
-    """``a``, ``b``, ``similarity`` of the pairs at or above the bound, from whole texts.
+def sets_of(nodes: DataFrame, texts: DataFrame, keyed: DataFrame, idf) -> DataFrame:
+    """``node``, ``hashes``, ``weights`` of the distinct ``nodes``, from whole texts.
 
     ``texts`` has ``node``, ``k1``, ``k2``, ``row``; ``keyed`` the documents with ``text``, ``row``, ``k1``, ``k2``.
     """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(texts.select("node", "row", "k1", "k2").join(nodes, "node"), "near-wanted")
+    wanted = stored(texts.select("node", "row", "k1", "k2").join(nodes.select("node"), "node"), "near-wanted")
     fetched = keyed.join(checked_broadcast(wanted), ["row", "k1", "k2"]).select("text", "node")
-    shingled = stored(fetched.mapInArrow(sets(idf), "node long, hashes binary, weights binary"), "near-sets")
+    return stored(fetched.mapInArrow(sets(idf), "node long, hashes binary, weights binary"), "near-sets")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, keyed: DataFrame, idf, min_similarity: float) -> DataFrame:
+    """``a``, ``b``, ``similarity`` of the pairs at or above the bound."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    shingled = sets_of(nodes, texts, keyed, idf)
     left = shingled.select(F.col("node").alias("a"), F.col("hashes").alias("ha"), F.col("weights").alias("wa"))
     right = shingled.select(F.col("node").alias("b"), F.col("hashes").alias("hb"), F.col("weights").alias("wb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "wa", "hb", "wb")
@@ -219,7 +282,7 @@ def verified(pairs: DataFrame, texts: DataFrame, keyed: DataFrame, idf, min_simi
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS,
-            min_similarity: float = MIN_SIMILARITY, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
+            min_similarity: float = MIN_SIMILARITY, small: int = SMALL) -> DataFrame:
     """One row per document: ``row`` (its place in the scan of ``docs``, which must be stored), ``doc_id``, ``node``
     (its text) and ``class`` (a node of its class)."""
     spark = docs.sparkSession
@@ -237,32 +300,21 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int
                           .alias("bucket")).filter("total > 0")
     members = with_company(banded)
     alone = members.withColumn("class", F.col("node")).withColumn("class_size", F.lit(1).cast("long"))
-    links = verified(stored(with_leader(alone).distinct(), "near-pairs"), texts, keyed, idf, min_similarity)
-    parts = components(links)
-    company = members.select("node", F.col("bucket").alias("second"))
-    first = members
-    for level in range(1, levels + 1):
-        mixed = in_classes(members, parts)
-        if mixed.limit(1).count() == 0:
-            break
-        pairs = with_each_other(mixed, small)
-        again = mixed.filter(F.col("n") > small).select("bucket", "node", "total").join(company, "node").filter(
-            "bucket <> second").select(F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias(
-            "bucket"), "node", "total").distinct()
-        if level < levels:
-            members = with_company(again)
-            pairs = pairs.unionByName(with_leader(in_classes(members, parts)))
-        pairs = stored(pairs.distinct(), "near-pairs")
-        links = stored(links.unionByName(verified(pairs, texts, keyed, idf, min_similarity)).dropDuplicates(["a", "b"]),
-                       "near-links")
-        parts = components(links)
-    # smaller buckets have had all of their pairs in the first round
-    rest = in_classes(first.filter(F.col("n") > small), parts)
-    if rest.limit(1).count():
-        pairs = stored(rest_of_pairs(rest).distinct(), "near-pairs")
-        links = stored(links.unionByName(verified(pairs, texts, keyed, idf, min_similarity)).dropDuplicates(["a", "b"]),
-                       "near-links")
-        parts = components(links)
+
+    def more(links: DataFrame | None, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = verified(stored(pairs.distinct(), "near-pairs"), texts, keyed, idf, min_similarity)
+        found = found if links is None else links.unionByName(found)
+        return found, components(found)
+
+    links, parts = more(None, with_leader(alone))
+    mixed = in_classes(members, parts)
+    if mixed.limit(1).count():
+        few, many = with_each_other(mixed, small), with_leader(mixed.filter(F.col("n") > small), next_class=True)
+        links, parts = more(links, few.unionByName(many))
+        # smaller buckets have had all of their pairs
+        rest = in_classes(mixed.filter(F.col("n") > small).drop("class", "class_size"), parts)
+        if rest.limit(1).count():
+            links, parts = more(links, rest_of_pairs(rest, texts, keyed, idf, min_similarity))
     named = texts.select("node", "k1", "k2").join(parts, "node", "left").select(
         "node", "k1", "k2", F.coalesce("component", "node").alias("class"))
     ids = keyed.select("row", "doc_id")

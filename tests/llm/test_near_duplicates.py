@@ -105,3 +105,20 @@ def test_families_without_their_original_are_found_in_buckets_that_stay_large(sp
     for d, f in truth.items():
         first.setdefault(f, d)
     assert got == {d: first[f] for d, f in truth.items()}
+
+
+def test_texts_that_share_a_passage_do_not_meet_in_pairs(spark, monkeypatch):
+    """160 of 200 words in common: below 0.8, all in one bucket; compared pairs stay few while the family doubles."""
+    import cadenza.llm.near_duplicates as module
+
+    random.seed(11)
+    passage, counted, verified = [f"p{i}" for i in range(160)], [], module.verified
+    monkeypatch.setattr(module, "verified", lambda pairs, *rest: counted.append(pairs.count()) or verified(pairs, *rest))
+    for members in (100, 200):
+        counted.clear()
+        rows = [(d, " ".join(passage + [f"o{random.random()}" for _ in range(41)])) for d in range(members)]
+        rows += [(members + d, " ".join(passage[:150] + ["twin"] * 20 + [f"o{random.random()}"])) for d in range(2)]
+        docs = materialise(spark.createDataFrame(rows, "doc_id long, text string"), "test")
+        got = {r.doc_id: r.class_id for r in report(classes(docs, bands=4, rows=1, small=2)).collect()}
+        assert got == {d: min(d, members) for d in range(members + 2)}
+        assert sum(counted) < 12 * members and counted[-1] < members
