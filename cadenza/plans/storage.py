@@ -16,6 +16,7 @@ from cadenza.plans.quality import _priced
 from cadenza.plans.registry import null_if, query, rounded, table
 from cadenza.session import scratch_dir
 from cadenza.sources.delimited import load_upload, peek, read_csv, write_csv
+from cadenza.sources.file_order import ids_in_order, keep_first_in_file, read_csv_in_order
 from cadenza.sources.metrics_store import read_metrics, write_metrics
 from cadenza.sources.tables import append, create_table, load_summary, replace_rows, run_sql, to_schema, upsert
 from cadenza.streaming.interactions import interactions, latest_tracks, once, read_latest, write_latest, write_log
@@ -240,3 +241,18 @@ def stream_kept_tracks(spark, folder):
     target = ListTable(f"{base}/lists", every=1)
     write_lists(lists, target, f"{base}/checkpoint").awaitTermination()
     return target.read(spark).select("user_id", F.array_join("tracks", ",").alias("tracks"), "last_event_id")
+
+
+@query("""
+    WITH e AS (SELECT *, row_number() OVER (ORDER BY event_id DESC) AS position FROM events)
+    SELECT position, event_id, user_id, event_type, 'row_' || (position - 1) AS row_id
+    FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY position) = 1
+""")
+def first_in_file_order(spark, folder):
+    """Several files whose order contradicts the keys: positions, ids in file order, and the first row of each user."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    path = scratch_dir(spark, "ordered")
+    write_csv(events.repartitionByRange(5, F.desc("event_id")).sortWithinPartitions(F.desc("event_id")), path)
+    numbered = ids_in_order(read_csv_in_order(spark, path), "row_id", "row_")
+    return keep_first_in_file(numbered, ["user_id"]).select(
+        "position", F.col("event_id").cast("long"), F.col("user_id").cast("long"), "event_type", "row_id")
