@@ -34,6 +34,7 @@ from cadenza.operators.metrics import (
 from cadenza.operators.profile import group_sizes
 from cadenza.operators.quantiles import approximate_medians, exact_medians
 from cadenza.operators.sampling import split_random, split_stratified
+from cadenza.operators.silhouette import silhouette_estimate
 
 # Forest size and depths, restarts of the clustering.
 TREES = 100
@@ -311,8 +312,12 @@ def run_jobs(spark: SparkSession, jobs: Mapping[str, Callable[[], Mapping[str, f
 def train_all(df: DataFrame, key: str = "track_id", genre: str = "genre", popularity: str = "popularity",
               energy: str = "energy", clusters: int = 2, save_to: str | None = None, trees: int = TREES,
               info: Sequence[str] = ("track_id", "artist_name", "track_name", "genre", "popularity"),
-              features: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
-    """Train, evaluate and optionally save all five models over one cached table."""
+              features: Mapping[str, Mapping[str, str]] | None = None,
+              silhouette_error: float | None = None) -> DataFrame:
+    """Train, evaluate and optionally save all five models over one cached table.
+
+    With ``silhouette_error`` the silhouette is estimated to that error, else it is exact and quadratic.
+    """
     features = features or {}
     spark = df.sparkSession
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -344,7 +349,8 @@ def train_all(df: DataFrame, key: str = "track_id", genre: str = "genre", popula
         vectors = model.transform(data).select(
             F.col(key), "cluster", vector_to_array("_features").alias("vector")
         )
-        found = silhouette(vectors, key, "vector", "cluster").first()
+        found = (silhouette(vectors, key, "vector", "cluster") if silhouette_error is None else
+                 silhouette_estimate(vectors, key, "vector", "cluster", silhouette_error)).first()
         sizes = {f"cluster_{r['cluster']}": r["count"] for r in group_sizes(vectors, "cluster").collect()}
         return {"silhouette_score": found["silhouette_score"], **sizes}
 

@@ -15,6 +15,7 @@ from cadenza.operators.profile import (
     target_stats, value_counts,
 )
 from cadenza.operators.shift import auc, domain_report, shared_rows, weak_pairs
+from cadenza.operators.silhouette import silhouette_estimate
 from cadenza.operators.validate import (
     accuracy_gate, drift, evaluation_report, integrity_report, key_report, split_report, validation_report,
     verdict, weak_segments,
@@ -470,6 +471,21 @@ def silhouette_score(spark, folder):
     return rounded(silhouette(table(spark, folder, "embeddings"), "vec_id", "embedding", "label"), silhouette_score=6)
 
 
+@query(f"""
+    WITH {_SILHOUETTE_SQL}
+    SELECT count(*) AS rows, round(avg(silhouette), 6) AS silhouette_score, TRUE AS within, TRUE AS narrow FROM points
+""")
+def silhouette_within_error(spark, folder):
+    """The estimate over all points, and whether it lies within the bound of the estimate over sampled ones, which must be
+    as narrow as asked for."""
+    points = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    exact = silhouette_estimate(points, "vec_id", "embedding", "label", error=0.0).first()["silhouette_score"]
+    return silhouette_estimate(points, "vec_id", "embedding", "label", error=0.005, first=256).select(
+        "rows", F.round(F.lit(exact), 6).alias("silhouette_score"),
+        (F.abs(F.col("silhouette_score") - F.lit(exact)) <= F.col("error") + 1e-9).alias("within"),
+        (F.col("error") <= 0.005).alias("narrow"))
+
+
 @query("""
     WITH a AS (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 7 > 0),
     b AS (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 7 = 0)
