@@ -17,7 +17,8 @@ from cadenza.operators.models import index_rows, score_all
 from cadenza.operators.recommend import named_output
 from cadenza.operators.similar import fallback_neighbours, nearest, raw_vector, with_fallback
 from cadenza.operators.validate import require_valid, validation_report
-from cadenza.sources.delimited import read_csv
+from cadenza.session import materialise
+from cadenza.sources.delimited import infer_numbers, read_csv
 
 
 # Columns searched, the first of each that the table has.
@@ -26,14 +27,19 @@ SEARCH_NAMES = [("track_name", "title"), ("artist_name", "artists")]
 
 def build_catalogue(raw: DataFrame, metadata: Sequence[str] = REDUCED_METADATA,
                     features: Sequence[str] = REDUCED_FEATURES) -> DataFrame:
-    """Clean, map genres, derive features, reduce. One lazy chain; only fill statistics run early."""
+    """Clean, map genres, derive features, reduce. Fill statistics run early, over ``raw``: store it first if it is dear."""
     cleaned = handle_missing(drop_index_column(raw))
     return keep_columns(catalogue_features(map_genres(cleaned)), metadata, features)
 
 
 def catalogue_job(spark: SparkSession, source: str, target: str, target_column: str = "genre") -> None:
-    """CSV in, validated Parquet out. Errors in the validation report stop the job before the write."""
-    catalogue = build_catalogue(read_csv(spark, source, infer=True))
+    """CSV in, validated Parquet out. Errors in the validation report stop the job before the write.
+
+    The file is parsed once, into a staging folder of text columns: types, fills and medians read columns of that. The
+    catalogue is staged too, so the reports and the write do not compute it again.
+    """
+    typed = infer_numbers(materialise(read_csv(spark, source), "catalogue-text"))
+    catalogue = materialise(build_catalogue(typed), "catalogue")
     require_valid(validation_report(catalogue, target_column))
     catalogue.write.mode("overwrite").parquet(target)
 

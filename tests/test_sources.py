@@ -131,13 +131,32 @@ def test_search_and_listing(spark):
     assert [r["track_id"] for r in jobs.list_tracks(df, 1).collect()] == ["3"]
 
 
+def raw_tracks():
+    header = "Unnamed: 0,artist_name,track_name,track_id,genre,popularity,danceability,energy,loudness,liveness,acousticness,instrumentalness,valence,tempo,key,year,duration_ms"
+    return header, [f"{i},a{i},t{i},id{i},{'pop' if i % 2 else 'techno'},{i},0.{i % 9 + 1},0.5,-{i},0.1,0.2,0.3,0.{i % 7},1{i % 9}0,{i % 12},2000,{1000 * (i + 1)}" for i in range(40)]
+
+
 def test_catalogue_job(spark, tmp_path):
     source = tmp_path / "raw.csv"
-    header = "Unnamed: 0,artist_name,track_name,track_id,genre,popularity,danceability,energy,loudness,liveness,acousticness,instrumentalness,valence,tempo,key,year,duration_ms"
-    lines = [f"{i},a{i},t{i},id{i},{'pop' if i % 2 else 'techno'},{i},0.{i % 9 + 1},0.5,-{i},0.1,0.2,0.3,0.{i % 7},1{i % 9}0,{i % 12},2000,{1000 * (i + 1)}" for i in range(40)]
+    header, lines = raw_tracks()
     lines[3] = lines[3].replace("a3", "", 1)
     source.write_text("\n".join([header, *lines]))
     jobs.catalogue_job(spark, str(source), str(tmp_path / "out"))
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 39 and {r[0] for r in out.select("genre").distinct().collect()} == {"POP", "ELECTRONIC"}
     assert "Unnamed: 0" not in out.columns and out.columns[:3] == ["artist_name", "track_name", "track_id"]
+
+
+def test_catalogue_job_parses_its_source_once(spark, tmp_path, monkeypatch):
+    source, kept = tmp_path / "raw.csv", jobs.materialise
+    header, lines = raw_tracks()
+    source.write_text("\n".join([header, *lines]))
+
+    def then_without_source(df, label):
+        out = kept(df, label)
+        source.unlink(missing_ok=True)  # whatever reads the file again fails from here on
+        return out
+
+    monkeypatch.setattr(jobs, "materialise", then_without_source)
+    jobs.catalogue_job(spark, str(source), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
