@@ -18,6 +18,7 @@ from cadenza.session import scratch_dir
 from cadenza.sources.delimited import load_upload, peek, read_csv, write_csv
 from cadenza.sources.file_order import ids_in_order, keep_first_in_file, read_csv_in_order
 from cadenza.sources.metrics_store import read_metrics, write_metrics
+from cadenza.sources.mixed_files import read_mixed
 from cadenza.sources.tables import append, create_table, load_summary, replace_rows, run_sql, to_schema, upsert
 from cadenza.streaming.interactions import interactions, latest_tracks, once, read_latest, write_latest, write_log
 from cadenza.streaming.latest import ListTable, kept_tracks, write_lists
@@ -256,3 +257,18 @@ def first_in_file_order(spark, folder):
     numbered = ids_in_order(read_csv_in_order(spark, path), "row_id", "row_")
     return keep_first_in_file(numbered, ["user_id"]).select(
         "position", F.col("event_id").cast("long"), F.col("user_id").cast("long"), "event_type", "row_id")
+
+
+@query("""
+    SELECT p_partkey, p_name || ' é' AS p_name, p_retailprice, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand FROM part
+""")
+def mixed_folder(spark, folder):
+    """One folder of files that differ in delimiter, encoding, and number and order of columns."""
+    part = table(spark, folder, "part").withColumn("p_name", F.concat("p_name", F.lit(" é")))
+    path = scratch_dir(spark, "mixed")
+    even = part.filter("p_partkey % 2 = 0").select("p_partkey", "p_name", "p_retailprice", "p_brand")
+    write_csv(even, path, ";", mode="append")
+    odd = part.filter("p_partkey % 2 = 1").select("p_retailprice", "p_name", "p_partkey")
+    odd.write.mode("append").option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
+    return read_mixed(spark, path).select(
+        F.col("p_partkey").cast("long"), "p_name", F.col("p_retailprice").cast("double"), "p_brand")
