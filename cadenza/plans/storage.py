@@ -15,12 +15,13 @@ from cadenza.operators.recommend import KEPT_INTERACTIONS
 from cadenza.plans.quality import _priced
 from cadenza.plans.registry import null_if, query, rounded, table
 from cadenza.session import scratch_dir
-from cadenza.sources.delimited import load_upload, peek, read_csv, write_csv
-from cadenza.sources.file_order import ids_in_order, keep_first_in_file, read_csv_in_order
+from cadenza.sources.delimited import check_upload, load_upload, peek, read_csv, write_csv
+from cadenza.sources.file_order import ids_in_order, keep_first_in_file, load_upload_in_order, read_csv_in_order
 from cadenza.sources.metrics_store import read_metrics, write_metrics
 from cadenza.sources.mixed_files import read_mixed
-from cadenza.sources.tables import append, create_table, load_summary, replace_rows, run_sql, to_schema, upsert
-from cadenza.streaming.interactions import interactions, latest_tracks, once, read_latest, write_latest, write_log
+from cadenza.sources.tables import (
+    append, create_table, current_version, load_summary, replace_by_upsert, replace_rows, run_sql, to_schema, upsert)
+from cadenza.streaming.interactions import interactions, latest_tracks, once, read_latest, rejected, write_latest, write_log
 from cadenza.streaming.latest import ListTable, kept_tracks, write_lists
 
 
@@ -272,3 +273,47 @@ def mixed_folder(spark, folder):
     odd.write.mode("append").option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
     return read_mixed(spark, path).select(
         F.col("p_partkey").cast("long"), "p_name", F.col("p_retailprice").cast("double"), "p_brand")
+
+
+@query("""
+    SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN round(c_acctbal + 2, 2) WHEN c_custkey % 2 = 0 THEN round(c_acctbal + 1, 2)
+           ELSE c_acctbal END AS c_acctbal, 3 AS version
+    FROM customer WHERE c_custkey % 3 > 0 OR c_custkey % 2 = 0
+""")
+def upsert_versions(spark, folder):
+    """Two upserts of a table kept in versions, with new and known keys: the second works on the first one's result."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    path = scratch_dir(spark, "versions")
+    customer.filter("c_custkey % 3 > 0").withColumn("id", F.col("c_custkey")).write.parquet(f"{path}/version=1")
+    for step, part in ((1, 2), (2, 4)):
+        changed = customer.filter(F.col("c_custkey") % part == 0).withColumn("c_acctbal", F.col("c_acctbal") + step)
+        replace_by_upsert(spark, path, changed, "c_custkey", ["c_acctbal"], ["c_acctbal"])
+    newest = current_version(spark, path)
+    kept = spark.read.parquet(newest).drop("id").withColumn("version", F.lit(int(newest.rsplit("=", 1)[1])))
+    return rounded(kept, c_acctbal=2)
+
+
+@query("""
+    SELECT event_id, user_id::VARCHAR AS user_id, event_type AS action FROM events
+    WHERE event_id % 5 = 0 OR event_id % 7 = 0 OR props->>'$.k' IS NULL
+""")
+def rejected_events(spark, folder):
+    """Events without a track or a time, as a side folder of the log holds them."""
+    events = table(spark, folder, "events").select(
+        "event_id", F.col("user_id").cast("string").alias("user_id"), F.col("event_type").alias("action"),
+        F.when(F.col("event_id") % 5 != 0, F.get_json_object("props", "$.k")).alias("track_id"),
+        F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts"))
+    return rejected(events).select("event_id", "user_id", "action")
+
+
+@query("""
+    SELECT 'b' || (p_partkey % 50) AS track_id, arg_max(p_size, p_partkey)::DOUBLE AS energy FROM part GROUP BY 1
+""")
+def upload_in_file_order(spark, folder):
+    """An upload, its name checked, of which the first row of each id in the file stays."""
+    part = table(spark, folder, "part").orderBy(F.desc("p_partkey")).select(
+        F.concat(F.lit("b"), F.col("p_partkey") % 50).alias("track_id"), F.col("p_size").alias("energy"))
+    path = scratch_dir(spark, "upload") + ".csv"
+    write_csv(part, path, ";")
+    check_upload(path)
+    return load_upload_in_order(spark, path, ["energy"])
