@@ -7,10 +7,9 @@ the rows into even buckets: ranks come from bucket counts, never from one global
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.constants import SEED, TEST_FRACTION
@@ -30,20 +29,22 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = SEED, large: int
     """
     order = digest(key, seed)
     if df.count() > large:
-        edge = _edge_bucket(df.select(order.alias("_digest")), n)
+        edge = _edge_bucket(df.select(order.alias("_digest")), F.lit(n))
         if edge is not None:
             df = df.filter(F.substring(order, 1, _BUCKET_DIGITS) <= F.lit(edge["_bucket"]))
     return df.orderBy(order, F.col(key)).limit(n)
 
 
-def _edge_bucket(hashed: DataFrame, place: int):
-    """The bucket ``(_bucket, _n, _upto)`` that holds the row at ``place`` (1-based) in hash order."""
+def _edge_bucket(hashed: DataFrame, place: Column):
+    """The bucket ``(_bucket, _n, _upto, _place)`` that holds the row at ``place`` (1-based) in hash order; None if there is
+    no such row. ``place`` may use ``_rows``, the number of all rows."""
     buckets = hashed.groupBy(F.substring("_digest", 1, _BUCKET_DIGITS).alias("_bucket")).agg(
         F.count(F.lit(1)).alias("_n")
     )
     # At most 16**_BUCKET_DIGITS rows, whatever the table's size.
-    running = buckets.withColumn("_upto", F.sum("_n").over(Window.orderBy("_bucket")))
-    return running.filter(F.col("_upto") >= place).orderBy("_bucket").first()
+    running = buckets.withColumn("_upto", F.sum("_n").over(Window.orderBy("_bucket"))).withColumn(
+        "_rows", F.sum("_n").over(Window.partitionBy())).withColumn("_place", place.cast("long"))
+    return running.filter((F.col("_place") > 0) & (F.col("_upto") >= F.col("_place"))).orderBy("_bucket").first()
 
 
 def shuffle(df: DataFrame, key: str, seed: int = SEED, position: str = "position") -> DataFrame:
@@ -102,11 +103,10 @@ def split_random(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION,
     a plain expression without a shuffle. ``key`` must be unique.
     """
     hashed = df.withColumn("_digest", digest(key, seed))
-    wanted = math.ceil(test_fraction * df.count())
-    if wanted == 0:
+    edge = _edge_bucket(hashed, F.ceil(F.lit(test_fraction) * F.col("_rows")))
+    if edge is None:
         return df.withColumn(flag, F.lit(False))
-    edge = _edge_bucket(hashed, wanted)
-    rank = wanted - (edge["_upto"] - edge["_n"])
+    rank = edge["_place"] - (edge["_upto"] - edge["_n"])
     last = (
         hashed.filter(F.col("_digest").startswith(edge["_bucket"]))
         .select("_digest", key).orderBy("_digest", key).offset(rank - 1).first()
