@@ -107,7 +107,17 @@ def op9_quality_classifier(spark, folder):
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@query
+@query(sql="""
+WITH payload AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+sized AS (
+    SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest, body FROM payload),
+first AS (SELECT body, max(page_id) AS response FROM sized WHERE payload_bytes >= 1000 GROUP BY body)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN response IS NULL OR page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> response THEN response END AS refers_to
+FROM sized LEFT JOIN first USING (body)
+""")
 def op10_warc(spark, folder):
     """Pages written as WARC archives and read back: size, digest and kind of every record."""
     path = scratch_dir(spark, "warc")

@@ -78,3 +78,19 @@ def test_no_pages(spark):
     path = scratch_dir(spark, "warc-test")
     warc.write_archives(rows(spark, [(1, "u", "h")]).limit(0), path)
     assert warc.read_archives(spark, path).count() == 0
+
+
+def test_registered_query_agrees_with_its_sql_where_payloads_repeat(spark, tmp_path):
+    import duckdb
+
+    from cadenza.llm.queries import ORACLE, op10_warc
+
+    rows = [(1, "u", "x" * 1000), (2, "u", "x" * 1000), (9007199254740993, "v", "x" * 1000), (3, None, "é" * 500), (4, "w", "é" * 500),
+            (5, "w", "x" * 999), (6, "w", "x" * 999), (7, "w", None), (8, "w", ""), (9, "y", "\r\n" * 900)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    columns = "page_id, payload_bytes, payload_digest, record_type, refers_to"
+    got = sorted(tuple(r) for r in op10_warc(spark, str(tmp_path)).selectExpr(*columns.split(", ")).collect())
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(base.execute(f"SELECT {columns} FROM ({ORACLE['op10_warc']})").fetchall())
+    assert [r[3] for r in got].count("revisit") == 3
