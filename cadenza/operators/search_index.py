@@ -22,6 +22,8 @@ from cadenza.functions.scalar import text_matches
 SEGMENT = 1 << 16
 BUCKETS = 64
 GRAM = 3
+#: So many characters are cut into trigrams at once: a task's memory does not depend on its texts.
+CHARACTERS = 1 << 20
 #: So many candidate places are pushed to the scan as literals; more are joined.
 LITERALS = 1_000
 _ABOUT = "key string, columns array<string>, buckets int"
@@ -32,15 +34,54 @@ def folded(text: Column) -> Column:
     return F.lower(F.translate(text, "ſİıK", "siik"))
 
 
-def _grams(batches):
-    """(place, folded texts …) becomes (place, gram), a list per row; each trigram once, marked with the number of its column."""
+def _postings(batches):
+    """(place, folded texts …) becomes (gram, segment, places): the rows of a bounded number of characters that have a
+    trigram, which is marked with the number of its column. Texts beyond that number come in pieces that overlap."""
     import pyarrow as pa
 
     for batch in batches:
-        texts = [batch.column(i).to_pylist() for i in range(1, batch.num_columns)]
-        lists = [[f"{c}:{g}" for c, text in enumerate(row) if text for g in sorted({text[i:i + GRAM] for i in range(
-            len(text) - GRAM + 1)})] for row in zip(*texts)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.string()))], ["_place", "grams"])
+        row_places = batch.column(0).to_numpy()
+        for c in range(1, batch.num_columns):
+            texts, rows, held = [], [], 0
+            for row, value in enumerate(batch.column(c)):
+                text = value.as_py() or ""
+                for start in range(0, max(0, len(text) - GRAM + 1), CHARACTERS):
+                    piece = text[start:start + CHARACTERS + GRAM - 1]
+                    texts.append(piece)
+                    rows.append(row)
+                    held += len(piece)
+                    if held >= CHARACTERS:
+                        yield _listed(texts, row_places[rows], c - 1, pa)
+                        texts, rows, held = [], [], 0
+            if texts:
+                yield _listed(texts, row_places[rows], c - 1, pa)
+
+
+def _listed(texts, places, column, pa):
+    """One batch (gram, segment, places) of some texts, whose places ascend. Every text has a trigram."""
+    import numpy as np
+
+    sizes = np.array([len(t) for t in texts])
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    codes = letters[:-2] << 42 | letters[1:-1] << 21 | letters[2:]
+    ends = np.cumsum(sizes)
+    inside = np.ones(len(codes) + 2, dtype=bool)  # trigrams that cross from one text into the next are none
+    inside[ends - 1] = inside[ends - 2] = False
+    inside = inside[:len(codes)]
+    owner = np.repeat(np.arange(len(texts)), sizes)[:len(codes)][inside]
+    grams, number = np.unique(codes[inside], return_inverse=True)
+    pairs = np.unique(number * len(texts) + owner)
+    gram, place = pairs // len(texts), places[pairs % len(texts)]
+    fresh = np.ones(len(pairs), dtype=bool)  # two pieces of one text may have the same trigram
+    fresh[1:] = (gram[1:] != gram[:-1]) | (place[1:] != place[:-1])
+    gram, place = gram[fresh], place[fresh]
+    segment = place // SEGMENT
+    first = np.concatenate([[True], (gram[1:] != gram[:-1]) | (segment[1:] != segment[:-1])]).nonzero()[0]
+    spelled = np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    named = [f"{column}:{spelled[GRAM * g:GRAM * g + GRAM]}" for g in gram[first]]
+    offsets = np.append(first, len(place)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array((place % SEGMENT).astype(np.int32)))
+    return pa.RecordBatch.from_arrays([pa.array(named, pa.string()), pa.array(segment[first]), lists], ["gram", "segment", "part"])
 
 
 def bucket_of(gram: Column, buckets: int) -> Column:
@@ -53,9 +94,9 @@ def write_index(rows: DataFrame, path: str, key: str, columns: Sequence[str], bu
     rows.withColumn("_place", F.monotonically_increasing_id()).write.parquet(f"{path}/rows")
     placed = spark.read.parquet(f"{path}/rows")
     texts = placed.select("_place", *[folded(F.col(f"`{c}`").cast("string")).alias(f"t{i}") for i, c in enumerate(columns)])
-    grams = texts.mapInArrow(_grams, "_place long, grams array<string>").select("_place", F.explode("grams").alias("gram"))
-    lists = grams.groupBy("gram", F.expr(f"_place div {SEGMENT}").alias("segment")).agg(
-        F.sort_array(F.collect_list((F.col("_place") % SEGMENT).cast("int"))).alias("places"))
+    parts = texts.mapInArrow(_postings, "gram string, segment long, part array<int>")
+    lists = parts.groupBy("gram", "segment").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("part")))).alias("places"))
     coded = lists.select("gram", "segment", F.size("places").alias("n"), F.transform(
         "places", lambda x, i: x - F.when(i > 0, F.get("places", i - 1)).otherwise(0)).alias("deltas"),
         bucket_of(F.col("gram"), buckets).alias("bucket"))

@@ -143,6 +143,36 @@ def test_many_hits_are_joined_and_lists_cross_segments(spark, tmp_path, monkeypa
     assert lists.agg(F.max(F.size("deltas"))).first()[0] <= search_index.SEGMENT and lists.select("segment").distinct().count() > 1
 
 
+def test_lists_come_from_bounded_numbers_of_characters(monkeypatch):
+    """What a task holds and hands on is bounded, and a trigram's places leave it as a list, not as a row each."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(search_index, "CHARACTERS", 50)
+    texts = ["abcab" * 40, None, "ab", "bca", "東京の夜😀x"] + ["abcd"] * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(range(65_530, 65_530 + len(texts))), pa.array(texts)], ["_place", "t0"])
+    out = list(search_index._postings([batch]))
+    got = {}
+    for part in out:
+        assert sum(map(len, part.column(2).to_pylist())) <= 50 + 4
+        for gram, segment, places in zip(*(c.to_pylist() for c in part.columns)):
+            got.setdefault(gram, set()).update(segment * search_index.SEGMENT + p for p in places)
+    want = {}
+    for place, text in enumerate(texts, 65_530):
+        for i in range(len(text or "") - 2):
+            want.setdefault(f"0:{text[i:i + 3]}", set()).add(place)
+    assert got == want and sum(part.num_rows for part in out) < sum(map(len, want.values()))
+
+
+def test_a_text_in_pieces_has_each_place_once(spark, tmp_path):
+    repeats = 2 * search_index.CHARACTERS // 5 + 1
+    rows = spark.createDataFrame([(1, 1), (2, 0)], "id long, n int").select(
+        "id", F.expr(f"CASE WHEN n = 1 THEN repeat('abcab', {repeats}) ELSE 'cab' END").alias("title"))
+    search_index.write_index(rows, str(tmp_path / "index"), "id", ["title"], buckets=2)
+    lists = spark.read.parquet(str(tmp_path / "index" / "postings"))
+    assert lists.filter("gram = '0:cab'").agg(F.sum("n")).first()[0] == 2
+    assert [r["id"] for r in search_index.search(spark, str(tmp_path / "index"), "bca", 9, False).collect()] == [1]
+
+
 # --- point lookups ------------------------------------------------------------------------------
 
 
