@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.constants import SEED
 from cadenza.operators.sampling import seeded_sample
+from cadenza.operators.silhouette import block_sums
 from cadenza.session import materialise
 
-_POINT_BLOCK = 4096
-
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Rows per (label, prediction)."""
@@ -93,7 +91,7 @@ def silhouette_points(df: DataFrame, key: str, vector: str, cluster: str, sample
                       seed: int = SEED) -> DataFrame:
     """Euclidean silhouette of each point: ``(key, cluster, silhouette)``.
 
-    All points are scored against all others: pairs of blocks of about ``_POINT_BLOCK`` points meet in one task, which
+    All points are scored against all others: pairs of bounded blocks of points meet in one task, which
     adds up distances per cluster, so no pair of points is ever a row and nothing passes through the driver. The work is
     quadratic by definition; ``sample`` takes so many seeded points for a figure at less cost.
     """
@@ -102,14 +100,7 @@ def silhouette_points(df: DataFrame, key: str, vector: str, cluster: str, sample
     if sample is not None:
         points = seeded_sample(points, "key", sample, seed)
     points = materialise(points.withColumn("at", F.monotonically_increasing_id()), "silhouette")
-    blocks = max(1, -(-points.count() // _POINT_BLOCK))
-    placed = points.withColumn("block", F.pmod(F.xxhash64("at"), F.lit(blocks)))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = placed.select("block", every.alias("other"), "at", "vector")
-    right = placed.select(F.col("block").alias("other"), every.alias("block"), "cluster", "vector").toDF(
-        "other", "block", "cluster", "vector")
-    totals = left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(
-        _distance_sums, "at long, other_cluster string, total double")
+    totals = block_sums(points.select("at", "vector"), points.select("cluster", "vector")).withColumnRenamed("other", "other_cluster")
     sizes = points.groupBy(F.col("cluster").alias("other_cluster")).agg(F.count(F.lit(1)).alias("size"))
     own = F.coalesce(F.col("other_cluster") == F.col("cluster"), F.lit(False))
     sums = totals.groupBy("at", "other_cluster").agg(F.sum("total").alias("total")).join(sizes, "other_cluster")
@@ -122,26 +113,6 @@ def silhouette_points(df: DataFrame, key: str, vector: str, cluster: str, sample
         (F.col("nearest") - F.col("within")) / best).otherwise(0.0).alias("silhouette"))
 
 
-def _distance_sums(points, others):
-    """Distances of each point to the others, added up per cluster."""
-    import pandas as pd
-
-    if not len(points) or not len(others):
-        return pd.DataFrame({"at": [], "other_cluster": [], "total": []})
-    a, b = (np.array(x["vector"].tolist(), dtype=float) for x in (points, others))
-    groups, names = pd.factorize(others["cluster"])
-    member = np.zeros((len(b), len(names)))
-    member[np.arange(len(b)), groups] = 1.0
-    sums = np.zeros((len(a), len(names)))
-    for start in range(0, len(a), 200):
-        gaps = np.zeros((len(a[start:start + 200]), len(b)))
-        for d in range(b.shape[1]):
-            gaps += (a[start:start + 200, d][:, None] - b[:, d][None, :]) ** 2
-        sums[start:start + 200] = np.sqrt(gaps) @ member
-    return pd.DataFrame({"at": np.repeat(points["at"].to_numpy(), len(names)),
-                         "other_cluster": np.tile(np.asarray(names, dtype=object), len(a)), "total": sums.ravel()})
-
-
 def silhouette(df: DataFrame, key: str, vector: str, cluster: str, sample: int | None = None,
                seed: int = SEED) -> DataFrame:
     points = silhouette_points(df, key, vector, cluster, sample, seed)
