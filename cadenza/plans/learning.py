@@ -29,19 +29,23 @@ def _embedded(spark, folder):
 
 
 def _tracks(spark, folder):
-    """Orders as tracks: one unique key, price as popularity, order and line figures as audio features."""
+    """Orders as tracks: one unique key, price as popularity, order and line figures as audio features.
+
+    Stored once: training and scoring read them many times.
+    """
     lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
         F.avg("l_discount").alias("danceability"), F.avg("l_tax").alias("speechiness"),
         F.avg("l_quantity").alias("acousticness"), F.sum("l_extendedprice").alias("instrumentalness"),
         F.max("l_linenumber").cast("double").alias("valence"),
     )
     orders = table(spark, folder, "orders")
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+    tracks = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").alias("track_id"), F.col("o_orderpriority").alias("genre"),
         (F.col("o_totalprice") / 5000).alias("popularity"), "danceability",
         (F.col("acousticness") / 50).alias("energy"), (-F.col("instrumentalness") / 10000).alias("loudness"),
         "speechiness", "acousticness", "instrumentalness", "valence",
     )
+    return materialise(tracks, "tracks")
 
 
 @query()
@@ -64,7 +68,7 @@ def genre_scores(spark, folder):
 
 @query()
 def popularity_scores(spark, folder):
-    tracks = materialise(_tracks(spark, folder), "tracks")  # read many times in training
+    tracks = _tracks(spark, folder)
     _, scored = train_regressor(tracks, "popularity", "track_id")
     return regression_metrics(scored, "popularity", "predicted")
 
@@ -72,7 +76,7 @@ def popularity_scores(spark, folder):
 @query()
 def energy_scores(spark, folder):
     """Without the features that give the target away."""
-    tracks = materialise(_tracks(spark, folder), "tracks")
+    tracks = _tracks(spark, folder)
     features = {n: e for n, e in energy_features(tracks).items() if n != "acousticness"}
     _, scored = train_regressor(tracks, "energy", "track_id", features)
     return regression_metrics(scored, "energy", "predicted")
