@@ -7,7 +7,8 @@ Three ways to the same result, chosen by size:
   best per query, and only those are shuffled;
 * neither: catalogue rows are put into cells around sampled pivots. A query is compared with one
   block near it to learn how good a neighbour must be, then only with the cells that can hold a
-  better one (Cauchy-Schwarz on the cell radius). The result is the same as without cells.
+  better one (Cauchy-Schwarz on the cell radius). Cells travel in regions, so a query is sent once
+  to each region and not once to each of its cells. The result is the same as without cells.
 
 Inside a task, similarities are matrix products over Arrow batches. No pair of query and candidate
 becomes a row unless it is among a task's k best. Similarities are rounded to ``DIGITS`` places
@@ -30,7 +31,9 @@ DIGITS = 9
 SMALL_CATALOGUE = 32_768
 SMALL_QUERIES = 4_096
 _SMALL_VALUES = 8_000_000  # 64 MB of doubles
-_BLOCK_ROWS = 20_000
+_BLOCK_ROWS = 60_000
+_LEAST_ROWS = 4_096
+_DENSE = 0.25
 _NO_PAIR = -9.0
 
 
@@ -218,19 +221,27 @@ def _by_cells(q: DataFrame, c: DataFrame, k: int, exclude_self: bool) -> DataFra
     stats = {r["cell"]: r for r in placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("distance").alias("radius")
     ).collect()}  # one row per pivot
-    blocks = {cell: math.ceil(r["n"] / _BLOCK_ROWS) for cell, r in stats.items()}
     queries = materialise(distinct_q, "neighbour-queries")
+    rows = _block_rows(sum(r["n"] for r in stats.values()), queries.count(), cells.pivots.shape[1],
+                       c.sparkSession.sparkContext.defaultParallelism)
 
-    near = cells.visits(queries, stats, places, None)
-    probe = _compare(near, placed, blocks, t, places, first_block=True)
+    near = cells.visits(queries, stats, places)
+    probe = _compare(near, placed, {cell: 1 for cell in stats}, {cell: math.ceil(r["n"] / rows) for cell, r in stats.items()},
+                     rows, t, places)
     floor = probe.groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= places, F.min("similarity")).alias("floor")
     )
-    floored = queries.join(floor, F.col("id") == F.col("query_id"), "left").select(
+    floored = materialise(queries.join(floor, F.col("id") == F.col("query_id"), "left").select(
         "id", "vector", F.coalesce("floor", F.lit(_NO_PAIR)).alias("floor")
-    )
-    possible = materialise(cells.visits(floored, stats, places, "floor"), "neighbour-visits")
-    found = _compare(possible, placed, blocks, t, places, first_block=False)
+    ), "neighbour-floors")
+    regions = cells.regions(stats, rows)
+    held = placed.withColumnRenamed("cell", "own").join(F.broadcast(c.sparkSession.createDataFrame(
+        [(int(i), int(region)) for i, region in enumerate(regions)], "own int, cell int")), "own")
+    sizes = {}
+    for cell, r in stats.items():
+        sizes[regions[cell]] = sizes.get(regions[cell], 0) + r["n"]
+    blocks = {region: math.ceil(n / rows) for region, n in sizes.items()}
+    found = _compare(cells.region_visits(floored, stats, regions), held, blocks, blocks, rows, t, places, cells.among(stats))
 
     lists = found.groupBy("query_id").agg(
         F.collect_list(F.struct("similarity", "id")).alias("neighbours")  # at most ``places`` each
@@ -245,6 +256,18 @@ def _by_cells(q: DataFrame, c: DataFrame, k: int, exclude_self: bool) -> DataFra
     return _ranked(pairs, k)
 
 
+def _block_rows(candidates: int, queries: int, width: int, cores: int) -> int:
+    """Rows of a block: a row travels once per block of the other side, so blocks are as large as a task can well hold, but
+    there are some for every core."""
+    even = max(_LEAST_ROWS, math.ceil(max(candidates, queries) / math.sqrt(2 * cores)))
+    return max(1, min(_BLOCK_ROWS, _SMALL_VALUES // max(1, width), even))
+
+
+def _possible(likeness, radius, floor):
+    """Whether a cell may hold a row that reaches a query's floor: Cauchy-Schwarz on the cell's radius."""
+    return likeness + radius >= floor[:, None] - 1e-8
+
+
 class _Cells:
     """Pivots sampled from the data: dense regions get more of them, so cells stay even."""
 
@@ -279,16 +302,27 @@ class _Cells:
 
         return c.mapInPandas(assign, f"id {_id_type(c)}, vector binary, cell int, distance double")
 
-    def visits(self, queries: DataFrame, stats, places: int, floor: str | None) -> DataFrame:
-        """``(id, vector, cell)``: the cells a query must be compared with.
-
-        Without ``floor``: the nearest cells that together hold ``places`` rows. With it: every cell
-        whose best possible similarity reaches the query's floor.
-        """
+    def _about(self, stats):
+        sizes = np.array([stats[i]["n"] if i in stats else 0 for i in range(len(self.pivots))])
+        return sizes, np.array([stats[i]["radius"] if i in stats else 0.0 for i in range(len(self.pivots))])
+
+    def regions(self, stats, rows: int) -> list[int]:
+        """The region of each cell: cells next to each other, of ``rows`` rows together or alone beyond that."""
+        sizes, _ = self._about(stats)
+        coarse = self.pivots[:max(1, math.isqrt(len(self.pivots)))]
+        likeness = self.pivots @ coarse.T
+        out, region, held = [0] * len(sizes), 0, 0
+        for i in np.lexsort((-likeness.max(axis=1), likeness.argmax(axis=1))):
+            if held and held + sizes[i] > rows:
+                region, held = region + 1, 0
+            out[i] = region
+            held += sizes[i]
+        return out
+
+    def visits(self, queries: DataFrame, stats, places: int) -> DataFrame:
+        """``(id, vector, floor, cell)``: the nearest cells of a query that together hold ``places`` rows."""
         shared, units, pack = self.shared, unit_rows, _pack
-        n_pivots = len(self.pivots)
-        sizes = np.array([stats[i]["n"] if i in stats else 0 for i in range(n_pivots)])
-        radius = np.array([stats[i]["radius"] if i in stats else 0.0 for i in range(n_pivots)])
+        sizes, _ = self._about(stats)
 
         def choose(batches):
             import numpy as np
@@ -299,60 +333,119 @@ class _Cells:
                 for start in range(0, len(whole), 1000):
                     batch = whole.iloc[start:start + 1000]
                     vectors = units(batch["vector"].tolist())
-                    likeness = vectors @ pivots.T
-                    if floor is None:
-                        order = np.argsort(-likeness, axis=1, kind="stable")
-                        held = sizes[order]
-                        rows, ranks = np.nonzero((np.cumsum(held, axis=1) - held < places) & (held > 0))
-                        cell = order[rows, ranks]
-                    else:
-                        least = batch[floor].to_numpy()[:, None] - 1e-8
-                        rows, cell = np.nonzero((likeness + radius >= least) & (sizes > 0))
+                    order = np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")
+                    held = sizes[order]
+                    rows, ranks = np.nonzero((np.cumsum(held, axis=1) - held < places) & (held > 0))
                     yield pd.DataFrame({
                         "id": batch["id"].to_numpy()[rows], "vector": np.array(pack(vectors), dtype=object)[rows],
-                        "cell": cell.astype(np.int32),
+                        "floor": -9.0, "cell": order[rows, ranks].astype(np.int32),
                     })
 
-        return queries.mapInPandas(choose, f"id {_id_type(queries)}, vector binary, cell int")
+        return queries.mapInPandas(choose, f"id {_id_type(queries)}, vector binary, floor double, cell int")
+
+    def region_visits(self, queries: DataFrame, stats, regions: list[int]) -> DataFrame:
+        """``(id, vector, floor, cell)``, once for every region (as ``cell``) with a cell whose best possible similarity
+        reaches the query's floor."""
+        shared, units, pack, possible = self.shared, unit_rows, _pack, _possible
+        sizes, radius = self._about(stats)
+        used = np.nonzero(sizes)[0]
+        used = used[np.argsort(np.array(regions)[used], kind="stable")]
+        numbers, first = np.unique(np.array(regions)[used], return_index=True)
+
+        def choose(batches):
+            import numpy as np
+            import pandas as pd
+
+            pivots = shared.value
+            for whole in batches:
+                for start in range(0, len(whole), 1000):
+                    batch = whole.iloc[start:start + 1000]
+                    vectors, floor = units(batch["vector"].tolist()), batch["floor"].to_numpy()
+                    rows, at = np.nonzero(np.logical_or.reduceat(possible(vectors @ pivots[used].T, radius[used], floor), first, axis=1))
+                    yield pd.DataFrame({
+                        "id": batch["id"].to_numpy()[rows], "vector": np.array(pack(vectors), dtype=object)[rows],
+                        "floor": floor[rows], "cell": numbers[at].astype(np.int32),
+                    })
+
+        return queries.mapInPandas(choose, f"id {_id_type(queries)}, vector binary, floor double, cell int")
+
+    def among(self, stats):
+        """A function: (vectors, floors, cells) becomes the mask of the queries and cells to be compared."""
+        shared, possible = self.shared, _possible
+        _, radius = self._about(stats)
+        return lambda vectors, floor, cells: possible(vectors @ shared.value[cells].T, radius[cells], floor)
+
+
+def _pruned_pairs(query_ids, queries, floor, ids, vectors, cells, among, k, digits):
+    """``_top_pairs`` of the cells that a query may find something in, or of all cells if those are many."""
+    import numpy as np
+
+    order = np.argsort(cells, kind="stable")
+    names, first = np.unique(cells[order], return_index=True)
+    groups = np.split(order, first[1:])
+    weights = np.array([len(g) for g in groups]) / len(ids)
+    found = []
+    for start in range(0, len(query_ids), 2000):
+        part = slice(start, start + 2000)
+        mask = among(queries[part], floor[part], names)
+        if (mask @ weights).mean() > _DENSE:
+            found.append(_top_pairs(query_ids[part], queries[part], ids, vectors, k, False, digits))
+            continue
+        asked = []
+        for i, group in enumerate(groups):
+            rows = np.nonzero(mask[:, i])[0]
+            if len(rows):
+                asked.append(_top_pairs(query_ids[part][rows], queries[part][rows], ids[group], vectors[group], k, False, digits))
+        if asked:
+            a, b, s = (np.concatenate([x[i] for x in asked]) for i in range(3))
+            best = np.lexsort((b, -s, a))
+            a, b, s = a[best], b[best], s[best]
+            keep = np.arange(len(a)) - np.searchsorted(a, a, side="left") < k
+            found.append((a[keep], b[keep], s[keep]))
+    if not found:
+        return query_ids[:0], ids[:0], np.zeros(0)
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
 
 
-def _compare(visits: DataFrame, placed: DataFrame, blocks: dict[int, int], id_type: str, k: int,
-             first_block: bool) -> DataFrame:
+def _compare(visits: DataFrame, placed: DataFrame, blocks: dict[int, int], split: dict[int, int], rows: int, id_type: str,
+             k: int, among=None) -> DataFrame:
     """Merge the k best of every visited block: ``(query_id, id, similarity)``.
 
-    A cell much visited is compared in several shares, each with a bounded part of the queries and
-    its own copy of the block.
+    ``cell`` names what is visited, a cell or a region. It is ``split`` into blocks, of which the first ``blocks`` are
+    compared, in several shares if much visited, each with a bounded part of the queries and its own copy of the block.
+    With ``among``, a query is compared only with the block's cells (``own``) that it may find something in.
     """
-    digits, top_pairs, unpack = DIGITS, _top_pairs, _unpack
+    digits, top_pairs, pruned, unpack = DIGITS, _top_pairs, _pruned_pairs, _unpack
     visited = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per pivot
     plan = F.broadcast(placed.sparkSession.createDataFrame(
-        [(r["cell"], blocks[r["cell"]], math.ceil(r["n"] / _BLOCK_ROWS)) for r in visited],
-        "cell int, n_blocks int, shares int",
+        [(r["cell"], blocks[r["cell"]], split[r["cell"]], math.ceil(r["n"] / rows)) for r in visited],
+        "cell int, n_blocks int, split int, shares int",
     ))
     all_shares = F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
     all_blocks = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    targets = placed.join(plan, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
-    if first_block:
-        targets = targets.filter(F.col("block") == 0)
-    targets = targets.withColumn("share", all_shares)
+    targets = placed.join(plan, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("split")).cast("int"))
+    targets = targets.filter("block < n_blocks").withColumn("share", all_shares)
     askers = visits.join(plan, "cell").withColumn("share", F.pmod(F.xxhash64("id"), F.col("shares")).cast("int"))
-    askers = askers.withColumn("block", F.lit(0) if first_block else all_blocks)
+    askers = askers.withColumn("block", all_blocks)
+    own = F.col("cell" if among is None else "own").alias("own")
 
     def score(left, right):
         import pandas as pd
 
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": left["id"][:0], "id": right["id"][:0], "similarity": []})
-        a, b, s = top_pairs(
-            left["id"].to_numpy(), unpack(left["vector"].tolist()), right["id"].to_numpy(),
-            unpack(right["vector"].tolist()), k, False, digits,
-        )
+        query_ids, queries = left["id"].to_numpy(), unpack(left["vector"].tolist())
+        ids, vectors = right["id"].to_numpy(), unpack(right["vector"].tolist())
+        if among is None:
+            a, b, s = top_pairs(query_ids, queries, ids, vectors, k, False, digits)
+        else:
+            a, b, s = pruned(query_ids, queries, left["floor"].to_numpy(), ids, vectors, right["own"].to_numpy(), among, k, digits)
         return pd.DataFrame({"query_id": a, "id": b, "similarity": s})
 
     group = ["cell", "block", "share"]
     pairs = (
-        askers.select(*group, "id", "vector").groupBy(*group)
-        .cogroup(targets.select(*group, "id", "vector").groupBy(*group))
+        askers.select(*group, "id", "vector", "floor").groupBy(*group)
+        .cogroup(targets.select(*group, "id", "vector", own).groupBy(*group))
         .applyInPandas(score, f"query_id {id_type}, id {id_type}, similarity double")
     )
     return _ranked(pairs, k).drop("rank")

@@ -62,6 +62,22 @@ def test_blocks_are_split_and_shared(spark, vectors, monkeypatch):
     assert answer(similar.nearest(df, df, 4, strategy="cells")) == brute_force(vectors, vectors, 4)
 
 
+def test_a_query_is_sent_once_to_a_region_not_to_each_cell(spark):
+    """Vectors without structure reach every cell; what is sent grows with the regions, which are few."""
+    rng = np.random.default_rng(6)
+    data = {i: rng.normal(size=24) for i in range(900)}
+    df = similar._narrow(frame(spark, data), "track_id", "vector")
+    cells = similar._Cells(df)
+    placed = cells.place(df)
+    stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()}
+    regions = cells.regions(stats, 300)
+    assert len(stats) > 20 and len(set(regions)) <= 6
+    sent = cells.region_visits(df.withColumn("floor", F.lit(0.5)), stats, regions)
+    assert sent.count() == sent.select("id", "cell").distinct().count() <= 900 * len(set(regions))
+    got = answer(similar.nearest(frame(spark, data), frame(spark, data), 4, strategy="cells"))
+    assert got == brute_force(data, data, 4)
+
+
 def test_size_decides(spark, vectors):
     df = frame(spark, vectors)
     want = brute_force(vectors, vectors, 2)
