@@ -43,6 +43,9 @@ CLASSIFIER_DEPTH = 30  # the most Spark allows; the goal is unlimited depth
 RESTARTS = 10
 TOLERANCE = 1e-4  # summed squared shift of the centres, in units of the features' variance
 
+#: Rows of a partition that is trained on: a forest keeps more than a kilobyte for each, and a task reads its partition whole.
+PARTITION_ROWS = 250_000
+
 _HIDDEN = "_f_"
 
 
@@ -80,7 +83,8 @@ def _prepared(df: DataFrame, features: Mapping[str, str], scale: bool = False, l
 
     The input is evaluated once: statistics and the trainer's many passes read the cached numbers.
     AQE packs a small table into one partition; training is bound by computing, not by bytes, so the
-    vectors of such a table are spread over the cores. A large table is not shuffled.
+    vectors of such a table are spread over the cores. Those of a large one are dealt anew if its partitions would be of
+    more than about ``PARTITION_ROWS`` rows.
     """
     names = list(features)
     labels = [label] if label else []
@@ -104,9 +108,9 @@ def _prepared(df: DataFrame, features: Mapping[str, str], scale: bool = False, l
             VectorAssembler(inputCols=[f"{_HIDDEN}{n}" for n in names], outputCol="_features"),
         ]
         vectors = VectorAssembler(inputCols=names, outputCol="_features").transform(filled).select("_features", *labels)
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if raw.rdd.getNumPartitions() < cores:
-            vectors = vectors.repartition(cores)
+        wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // PARTITION_ROWS))
+        if raw.rdd.getNumPartitions() < wanted:
+            vectors = vectors.repartition(wanted)
         yield stages, vectors
     finally:
         raw.unpersist()

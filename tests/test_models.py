@@ -125,3 +125,11 @@ def test_scoring_a_stream(spark, tracks, classifier, tmp_path):
     scored.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
         "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 240
+
+
+def test_partitions_to_train_on_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(models, "PARTITION_ROWS", 100)
+    rows = spark.range(0, 3_000, 1, 2).selectExpr("id AS track_id", "CAST(id AS double) AS energy")
+    with models._prepared(rows, {"energy": "`energy`"}) as (_, vectors):
+        sizes = vectors.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 3_000 and len(sizes) == 30 and max(sizes) < 150
