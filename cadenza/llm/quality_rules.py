@@ -33,25 +33,34 @@ MIN_SCORE = -0.1
 
 
 def word_list(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
+
+
+def paired(hashes: str, apart: int) -> Column:
+    """Hash of each element with the one ``apart`` places on; those without one have none."""
+    rest = F.size(hashes) - apart
+    return F.when(rest > 0, F.zip_with(F.slice(hashes, F.lit(1), F.greatest(rest, F.lit(0))), F.slice(
+        hashes, F.lit(apart + 1), F.greatest(rest, F.lit(0))), lambda x, y: F.xxhash64(x, y))).otherwise(
+        F.array().cast("array<long>"))
 
 
 def base_counts(df: DataFrame, text: str) -> DataFrame:
     """``df`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``.
 
-    Words in windows found twice: the hash of each window of eight words carries its position in the low bits; sorted,
+    Words in windows found twice: words are hashed in twos, these in twos and again, which makes windows of eight. The
+    hash of each window carries its position in the low bits; sorted,
     neighbours of equal hash are compared word by word. Texts whose window hashes all differ, nearly all of them,
     stop before the sort.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    symbols = F.length(t) - F.length(F.translate(t, SYMBOLS, ""))
+    symbols = F.size(F.regexp_extract_all(t, F.lit(f"[{SYMBOLS}]"), F.lit(0)))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     n = F.size("__words")
     df = df.withColumn("__words", word_list(t)).withColumn("__lines", lines)
     df = df.withColumn("__h", F.transform("__words", lambda x: F.xxhash64(x)))
-    df = df.withColumn("__win", F.when(n >= WINDOW, F.transform(
-        F.sequence(F.lit(0), n - WINDOW),
-        lambda i: F.xxhash64(*[F.get("__h", i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<long>")))
+    df = df.withColumn("__two", paired("__h", 1))
+    df = df.withColumn("__four", paired("__two", 2))
+    df = df.withColumn("__win", paired("__four", 4))
     low = F.expr("shiftleft(1L, cast(ceil(log2(size(__words) + 1)) as int)) - 1")
     packed = F.sort_array(F.transform("__win", lambda h, i: h.bitwiseAND(F.bitwise_not(low)).bitwiseOR(
         i.cast("long"))))
@@ -73,11 +82,11 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
         F.lit(0).cast("long"), lambda a, x: a + x)
     return df.withColumns({
         "n_words": n.cast("long"),
-        "word_chars": F.length(F.translate(t, " \t\n\x0b\f\r", "")).cast("long"),
+        "word_chars": F.length(F.concat_ws("", "__words")).cast("long"),
         "n_symbols": symbols.cast("long"),
         "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         "n_repeat_words": covered,
-    }).drop("__words", "__lines", "__h", "__win", "__sorted", "__starts")
+    }).drop("__words", "__lines", "__h", "__two", "__four", "__win", "__sorted", "__starts")
 
 
 def failed_base() -> Column:
@@ -117,7 +126,7 @@ def likelihood_ratio(table: list[float], grams: str) -> Column:
     """Mean log-likelihood ratio of the n-grams of a document."""
     text = ",".join(f"{x:.5f}" for x in table)
     weights = F.split(F.lit(text), ",").cast("array<double>")  # folded into a literal once
-    total = F.aggregate(F.transform(grams, lambda g: F.coalesce(F.get(weights, g), F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.coalesce(F.get(weights, g), F.lit(0.0)))
     n = F.size(grams) - 1  # one of them is NULL
     return F.when(n <= 0, 0.0).otherwise(total / n)
 

@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter
 
-from cadenza.llm.quality_rules import base_counts, judge, keep_good
+from pyspark.sql import functions as F
+
+from cadenza.llm.quality_rules import base_counts, judge, keep_good, paired, word_list
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -52,3 +54,20 @@ def test_junk_unlike_the_trusted_goes_and_columns_stay(spark):
 
 def test_no_rows(no_documents):
     assert judge(no_documents, no_documents.select("doc_id")).count() == 0
+
+
+def test_windows_are_hashed_in_steps_of_two(spark):
+    """A window of eight takes three hashes of two, not one of eight looked up by place; no text is read character by
+    character to count its symbols."""
+    random.seed(9)
+    words = [str(random.randint(0, 1)) for _ in range(400)]
+    df = spark.createDataFrame([(" ".join(words[:n]),) for n in (0, 1, 2, 4, 7, 8, 9, 400)], "text string")
+    df = df.withColumn("h", F.transform(word_list(F.col("text")), lambda w: F.xxhash64(w)))
+    hashed = df.withColumn("two", paired("h", 1)).withColumn("four", paired("two", 2)).withColumn("win", paired("four", 4))
+    for r in hashed.collect():
+        kept = r.text.split()
+        windows = [tuple(kept[i:i + 8]) for i in range(len(kept) - 7)]
+        assert len(r.win) == len(windows) and len(set(r.win)) == len(set(windows))
+        assert len(set(zip(r.win, windows))) == len(set(windows))
+    plan = base_counts(df, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and plan.count("xxhash64(") <= 12
