@@ -5,9 +5,10 @@ signs are its bucket. Near vectors share a bucket in some table. A query also pr
 it lies closest to, nearest first.
 
 The index is two Parquet folders: ``rows`` (one row per table and vector, sorted by bucket) and ``sizes``; ``about`` holds
-its few numbers. A search joins probes and rows by table and bucket. Large buckets are cut into blocks and much probed ones
-into shares, so every group handed to Python is bounded; similarities are matrix products and only a group's best pairs
-become rows. Of equal vectors the index keeps the first ``most`` + 1 ids and a search asks once, so copies neither
+its few numbers. A search joins probes and rows by table and region: buckets that share their upper bits, together about
+``BLOCK_ROWS`` rows. So a query travels once to each region in which it probes buckets, with the list of them, and leaves it with
+its best pairs over all of them. Large regions are cut into blocks and much probed ones into shares, so every group handed to
+Python is bounded; similarities are matrix products, bucket by bucket, and only a group's best pairs become rows. Of equal vectors the index keeps the first ``most`` + 1 ids and a search asks once, so copies neither
 fill a bucket nor multiply the work.
 
 How many buckets to probe is measured, not guessed: :func:`probes_for` finds, for sampled queries and their exact
@@ -33,10 +34,13 @@ TABLES = 8
 ROWS_PER_BUCKET = 256
 MOST = 100
 MAX_PROBES = 256
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 100_000
+PAIRS = 2_000_000
 SAMPLE = 128
 RECALL = 0.95
 
+_top_pairs = similar._top_pairs
+
 
 @dataclass(frozen=True)
 class Hasher:
@@ -170,6 +174,60 @@ def probes_for(index: LshIndex, queries: DataFrame, catalogue: DataFrame, k: int
     return needed, float((first < needed).mean())
 
 
+def _region_shift(n: int, bits: int) -> int:
+    """How many lower bits of a bucket do not tell its region, for ``n`` rows of a table."""
+    return bits - min(bits, max(0, math.ceil(math.log2(max(1, n) / BLOCK_ROWS))))
+
+
+def _asks(probed: np.ndarray, shift: int):
+    """The probed buckets (row, table, probe) in order of row, table and bucket, and where another region begins:
+    rows, tables, buckets, starts."""
+    import numpy as np
+
+    ordered = np.sort(probed.astype(np.int64), axis=2)
+    rows, tables, _ = np.indices(ordered.shape).reshape(3, -1)
+    buckets = ordered.ravel()
+    new = np.ones(len(buckets), dtype=bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (tables[1:] != tables[:-1]) | (buckets[1:] >> shift != buckets[:-1] >> shift)
+    return rows, tables, buckets, np.flatnonzero(new)
+
+
+def _bucket_pairs(queries, at, asked, vectors, buckets, k, digits, pairs):
+    """Each query's ``k`` best rows over the buckets it asks for: numbers of queries and of rows, similarities.
+
+    ``at`` and ``asked`` list numbers of queries with the buckets they ask for; rows of equal similarity count in their
+    order. Whenever about ``pairs`` pairs have come up they are cut to the best ones, and later ones must come up to those.
+    """
+    import numpy as np
+
+    def best(found):
+        a, b, s = (np.concatenate([f[i] for f in found]) for i in range(3))
+        order = np.lexsort((b, -s, a))
+        a, b, s = a[order], b[order], s[order]
+        place = np.arange(len(a)) - np.searchsorted(a, a, side="left")
+        floor[a[place == k - 1]] = s[place == k - 1]
+        return a[place < k], b[place < k], s[place < k]
+
+    floor = np.full(len(queries), -np.inf)
+    order, by = np.argsort(buckets, kind="stable"), np.argsort(asked, kind="stable")
+    buckets, at, asked = buckets[order], at[by], asked[by]
+    names, starts = np.unique(buckets, return_index=True)
+    ends = np.append(starts[1:], len(buckets))
+    firsts, lasts = np.searchsorted(asked, names, side="left"), np.searchsorted(asked, names, side="right")
+    found, new = [(at[:0], order[:0], np.zeros(0))], 0
+    for start, end, first, last in zip(starts, ends, firsts, lasts):
+        if first == last:
+            continue
+        some, rows = at[first:last], order[start:end]
+        a, b, s = _top_pairs(some, queries[some], rows, vectors[rows], k, False, digits)
+        good = s >= floor[a]
+        found.append((a[good], b[good], s[good]))
+        new += int(good.sum())
+        if new > pairs:
+            found, new = [best(found)], 0
+    return best(found)
+
+
 def lsh_nearest(index: LshIndex, queries: DataFrame, k: int, probes: int, catalogue: DataFrame | None = None,
                 id_col: str = "track_id", vector: str = "vector", exclude_self: bool = True) -> DataFrame:
     """About the ``k`` most similar rows of the index for every query: ``(query_id, id, similarity, rank)``.
@@ -185,45 +243,83 @@ def lsh_nearest(index: LshIndex, queries: DataFrame, k: int, probes: int, catalo
     shared = spark.sparkContext.broadcast(index.hasher)
     units, pack = similar.unit_rows, similar._pack
 
+    bits = index.hasher.planes.shape[1]
+    held = index.sizes(spark).groupBy("table").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    shift = _region_shift(held, bits)
+    narrow = np.min_scalar_type((1 << bits) - 1)
+    asks = _asks
+
+    def probe(batches):
+        h = shared.value
+        for whole in batches:
+            for start in range(0, len(whole), 1000):
+                batch = whole.iloc[start:start + 1000][["id"]].copy()
+                vectors = units(whole["vector"].iloc[start:start + 1000].tolist())
+                batch["vector"] = pack(vectors)
+                batch["probed"] = pack(h.probes(h.margins(vectors), probes).astype(narrow))
+                yield batch
+
+    def lists(batch):
+        tables = shared.value.planes.shape[0]
+        probed = np.frombuffer(b"".join(batch["probed"]), dtype=narrow).reshape(len(batch), tables, -1)
+        return asks(probed, shift)
+
+    def count(batches):
+        import pandas as pd
+
+        for batch in batches:
+            if len(batch):
+                _, tables, buckets, starts = lists(batch)
+                told = pd.DataFrame({"table": tables[starts].astype(np.int32), "region": buckets[starts] >> shift})
+                yield told.groupby(["table", "region"]).size().reset_index(name="asked")
+
     def visit(batches):
         import pandas as pd
 
-        h = shared.value
         for whole in batches:
             for start in range(0, len(whole), 1000):
                 batch = whole.iloc[start:start + 1000]
-                vectors = units(batch["vector"].tolist())
-                probed = h.probes(h.margins(vectors), probes)
-                rows, tables, _ = np.indices(probed.shape).reshape(3, -1)
-                yield pd.DataFrame({"table": tables.astype(np.int32), "bucket": probed.ravel(),
-                                    "id": batch["id"].to_numpy()[rows], "vector": np.array(pack(vectors), dtype=object)[rows]})
+                rows, tables, buckets, starts = lists(batch)
+                parts = np.split(buckets, starts[1:])
+                yield pd.DataFrame({
+                    "table": tables[starts].astype(np.int32), "region": buckets[starts] >> shift,
+                    "id": batch["id"].to_numpy()[rows[starts]], "vector": batch["vector"].to_numpy()[rows[starts]],
+                    "asks": [x.astype(narrow).tobytes() for x in parts]})
 
     t = similar._id_type(once)
-    visits = materialise(once.mapInPandas(visit, f"table int, bucket long, id {t}, vector binary"), "lsh-visits")
-    key = ["table", "bucket"]
-    plan = materialise(visits.groupBy(*key).agg(F.count("*").alias("asked")).join(index.sizes(spark), key).select(
+    probed = materialise(once.mapInPandas(probe, f"id {t}, vector binary, probed binary"), "lsh-probed")
+    key = ["table", "region"]
+    region = F.shiftright("bucket", shift).alias("region")
+    asked_of = probed.select("probed").mapInPandas(count, "table int, region long, asked long").groupBy(*key).agg(
+        F.sum("asked").alias("asked"))
+    sizes = index.sizes(spark).select("table", region, "n").groupBy(*key).agg(F.sum("n").alias("n"))
+    plan = small_side(materialise(asked_of.join(sizes, key).select(
         *key, F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
-        F.ceil(F.col("asked") / BLOCK_ROWS).cast("int").alias("shares")), "lsh-plan")
+        F.ceil(F.col("asked") / BLOCK_ROWS).cast("int").alias("shares")), "lsh-plan"))
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     group = [*key, "block", "share"]
+    visits = probed.mapInPandas(visit, f"table int, region long, id {t}, vector binary, asks binary")
     askers = visits.join(plan, key).withColumn("share", dealt("shares")).withColumn("block", every("blocks"))
-    targets = index.rows(spark).join(small_side(plan), key).withColumn("block", dealt("blocks")).withColumn(
+    targets = index.rows(spark).withColumn("region", region).join(plan, key).withColumn("block", dealt("blocks")).withColumn(
         "share", every("shares"))
-    digits, top_pairs, unpack = similar.DIGITS, similar._top_pairs, similar._unpack
+    digits, bucket_pairs, unpack, pairs_at_once = similar.DIGITS, _bucket_pairs, similar._unpack, PAIRS
 
     def score(left, right):
         import pandas as pd
 
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": left["id"][:0], "id": right["id"][:0], "similarity": []})
-        a, b, s = top_pairs(left["id"].to_numpy(), unpack(left["vector"].tolist()), right["id"].to_numpy(),
-                            unpack(right["vector"].tolist()), places, False, digits)
-        return pd.DataFrame({"query_id": a, "id": b, "similarity": s})
-
-    pairs = askers.select(*group, "id", "vector").groupBy(*group).cogroup(
-        targets.select(*group, "id", "vector").groupBy(*group)).applyInPandas(
-        score, f"query_id {t}, id {t}, similarity double")
+        right = right.sort_values("id", kind="stable")  # equal similarities go to the smaller id
+        at = np.repeat(np.arange(len(left)), left["asks"].str.len().to_numpy() // narrow.itemsize)
+        asked = np.frombuffer(b"".join(left["asks"]), dtype=narrow).astype(np.int64)
+        a, b, s = bucket_pairs(unpack(left["vector"].tolist()), at, asked, unpack(right["vector"].tolist()),
+                               right["bucket"].to_numpy(), places, digits, pairs_at_once)
+        return pd.DataFrame({"query_id": left["id"].to_numpy()[a], "id": right["id"].to_numpy()[b], "similarity": s})
+
+    pairs = askers.select(*group, "id", "vector", "asks").groupBy(*group).cogroup(
+        targets.select(*group, "bucket", "id", "vector").groupBy(*group)).applyInPandas(
+        score, f"query_id {t}, id {t}, similarity double").repartition("query_id")
     # the same pair may meet in several tables
     best = similar._ranked(pairs.groupBy("query_id", "id").agg(F.max("similarity").alias("similarity")), places)
     lists = best.groupBy("query_id").agg(F.collect_list(F.struct("similarity", "id")).alias("found"))  # at most ``places``

@@ -229,3 +229,21 @@ def test_text_keys(spark, tmp_path):
     lookup_table.write_lookup(rows, str(tmp_path / "t"), "odd key")
     got = lookup_table.find(spark, str(tmp_path / "t"), ["b", "c"])
     assert sorted(r["_x"] for r in got.collect()) == [2, 3]
+
+
+def test_a_query_travels_once_to_a_region_and_leaves_with_its_best():
+    rng = np.random.default_rng(3)
+    probed = np.array([[rng.choice(16, 5, replace=False) for _ in range(2)] for _ in range(7)])
+    rows, tables, buckets, starts = lsh._asks(probed, 2)
+    told = list(zip(rows[starts], tables[starts], buckets[starts] >> 2))
+    assert len(told) == len(set(told)) == len({(r, t, b >> 2) for r in range(7) for t in range(2) for b in probed[r, t]})
+    vectors, queries = rng.integers(-2, 3, (60, 4)).astype(float), rng.integers(-2, 3, (7, 4)).astype(float)
+    held, at, asked = rng.integers(0, 20, 60), rows[tables == 0], buckets[tables == 0]
+    for pairs in (1, 10, 10_000):
+        got = list(zip(*(x.tolist() for x in lsh._bucket_pairs(queries, at, asked, vectors, held, 3, 9, pairs))))
+        want = []
+        for q in range(7):
+            scored = [(-float(queries[q] @ vectors[j]), j) for j in range(60) if held[j] in probed[q, 0]]
+            want += [(q, j, -s) for s, j in sorted(scored)[:3]]
+        assert got == want
+    assert lsh._region_shift(600_000, 12) == 9 and lsh._region_shift(5, 1) == 1 and lsh._region_shift(0, 3) == 3
