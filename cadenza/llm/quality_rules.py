@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import SPACE_CLASS, checked_broadcast, fresh, stored
+from cadenza.llm.common import SPACE_CLASS, checked_broadcast, fresh
 
 BUCKETS = 1 << 14
 TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x20\x09-\x0D]+"
@@ -156,5 +156,5 @@ def keep_good(docs: DataFrame, trusted: DataFrame, id: str = "doc_id", text: str
     inner = {c: fresh("c") for c in docs.columns}
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
     judged = with_verdict(renamed, inner[text], ratio_table(docs, trusted, id, text), min_score)
-    # written before it is filtered: else the filter would take in all these expressions, token by token
-    return stored(judged.select(*inner.values(), "kept"), "quality").filter("kept").select(*[F.col(n).alias(c) for c, n in inner.items()])
+    # the condition on the row number keeps the filter above the projection: else it would take in all these expressions
+    return judged.filter("kept and row >= 0").select(*[F.col(n).alias(c) for c, n in inner.items()])

@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line, up to one edit or a few edits of words, go; documents stay, even if empty."""
-    return drop_repeated_lines(docs, length="n_chars")
+    return drop_repeated_lines(docs, length="n_chars", is_stored=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

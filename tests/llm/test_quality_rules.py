@@ -4,6 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from cadenza import session
 from cadenza.llm.quality_rules import base_counts, judge, keep_good, paired, word_list
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,3 +72,13 @@ def test_windows_are_hashed_in_steps_of_two(spark):
         assert len(set(zip(r.win, windows))) == len(set(windows))
     plan = base_counts(df, "text")._jdf.queryExecution().optimizedPlan().toString()
     assert "translate(" not in plan and plan.count("xxhash64(") <= 12
+
+
+def test_good_documents_are_not_stored_and_the_filter_holds_no_counts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    docs = spark.createDataFrame([(i, " ".join(f"w{i + j}" for j in range(40))) for i in range(20)], "doc_id long, text string")
+    kept = keep_good(docs, docs.select("doc_id"))
+    assert kept.count() == 20 and not list(tmp_path.iterdir())
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("regexp" in line or "xxhash64" in line for line in filters)
