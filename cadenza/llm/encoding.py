@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 
@@ -39,19 +38,26 @@ class Encoder:
             self.token_bytes[i] = len(token)
         line_end = self._ids("\n")
         self.line_end = int(np.frombuffer(line_end, "<u4")[0]) if len(line_end) == 4 else None
-        self.special = re.compile("|".join(
-            re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        # the fast call leaves out the places of tokens in the text
+        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(encoded.ids, dtype="<u4").tobytes()
+
+    def _has_special(self, text: str) -> bool:
+        for token in self.special:
+            if token in text:  # a search for bytes, much cheaper than a pattern of alternatives
+                return True
+        return False
 
     def parts(self, text: str) -> list[str]:
         """The text, cut where the vocabulary parts it anyway."""
+        if self._has_special(text):
+            return [text]
         found = _PART.findall(text)
-        if "".join(found) == text and not self.special.search(text):
+        if "".join(found) == text:
             return found
-        if self.special.search(text):
-            return [text]
         found = []
         for piece in _CUT.split(text):
             inner = _PART.findall(piece)
@@ -60,7 +66,7 @@ class Encoder:
 
     def _learn(self, missing: list[str]) -> None:
         together = [p for p in missing if not _SPACE.search(p, 1) and (p[0] == " " and len(p) > 1 or not p[0].isspace())
-                    and not self.special.search(p)]
+                    and not self._has_special(p)]
         learned = 0
         if together and self.line_end is not None:
             ids = np.frombuffer(self._ids("\n".join(together)), "<u4")
@@ -77,15 +83,25 @@ class Encoder:
                     self.new[p] = self._ids(p)
 
     def encode_group(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.parts(t) for t in texts]
-        missing = set(chain.from_iterable(cut)).difference(self.new)
+        known_ids, cut, late, missing = self.new.get, [], [], set()
+        for text in texts:
+            parts = self.parts(text)
+            found = list(map(known_ids, parts))  # each part is looked up once: the store is far larger than a cache
+            cut.append(found)
+            if None in found:
+                gaps = [(i, p) for i, (p, ids) in enumerate(zip(parts, found)) if ids is None]
+                missing.update([p for _, p in gaps])
+                late.append((found, gaps))
         if missing:
             old = self.old
             known = [p for p in missing if p in old]
             self.new.update(zip(known, map(old.__getitem__, known)))
             self._learn(sorted(missing.difference(known)))
         ids = self.new.__getitem__
-        out = [np.frombuffer(b"".join(map(ids, parts)), dtype="<u4") for parts in cut]
+        for found, gaps in late:
+            for i, p in gaps:
+                found[i] = ids(p)
+        out = [np.frombuffer(b"".join(found), dtype="<u4") for found in cut]
         if len(self.new) > KEPT:
             self.old, self.new = self.new, {}
         return out

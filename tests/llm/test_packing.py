@@ -32,6 +32,25 @@ def test_cut_encoding_equals_whole_encoding():
             assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_known_parts_are_looked_up_once():
+    class Counted(dict):
+        asked = again = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+        def __getitem__(self, key):
+            self.again += 1
+            return super().__getitem__(key)
+
+    encoder, texts = Encoder(PATH), ["one two, three\nfour " * 20 + "end", "two three one."]
+    first = [ids.tolist() for ids in encoder.encode_all(texts)]
+    encoder.new = store = Counted(encoder.new)
+    assert [ids.tolist() for ids in encoder.encode_all(texts)] == first
+    assert (store.asked, store.again) == (sum(len(encoder.parts(t)) for t in texts), 0)
+
+
 def test_groups_and_configurations_cover_every_item():
     random.seed(4)
     histogram = Counter(random.randint(257, 2048) for _ in range(3000))
