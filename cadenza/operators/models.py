@@ -15,11 +15,9 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +26,7 @@ from cadenza.functions.names import leak_free_features
 from cadenza.functions.scalar import clamp, score_map, top_classes
 from cadenza.operators.clean import fill
 from cadenza.operators.features import MODEL_PARENTS, scaling_stats, standard_scale
+from cadenza.operators.forest import train_forest
 from cadenza.operators.metrics import (
     classification_metrics, regression_metrics, silhouette,
 )
@@ -77,14 +76,12 @@ def _clean(expression: str) -> str:
 
 
 @contextmanager
-def _prepared(df: DataFrame, features: Mapping[str, str], scale: bool = False, label: str | None = None,
-              gaps: str = "median", exact: bool = True):
-    """The feature stages fitted on ``df``, and the vectors (and label) to train on.
+def _filled(df: DataFrame, features: Mapping[str, str], scale: bool = False, label: str | None = None,
+            gaps: str = "median", exact: bool = True):
+    """The feature stages fitted on ``df``, the columns of numbers without gaps (and label) to train on, their row count
+    and their partitions.
 
-    The input is evaluated once: statistics and the trainer's many passes read the cached numbers.
-    AQE packs a small table into one partition; training is bound by computing, not by bytes, so the
-    vectors of such a table are spread over the cores. Those of a large one are dealt anew if its partitions would be of
-    more than about ``PARTITION_ROWS`` rows.
+    The input is evaluated once: statistics and the trainer read the cached numbers.
     """
     names = list(features)
     labels = [label] if label else []
@@ -107,13 +104,33 @@ def _prepared(df: DataFrame, features: Mapping[str, str], scale: bool = False, l
             SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"),
             VectorAssembler(inputCols=[f"{_HIDDEN}{n}" for n in names], outputCol="_features"),
         ]
-        vectors = VectorAssembler(inputCols=names, outputCol="_features").transform(filled).select("_features", *labels)
+        yield stages, filled.select(*names, *labels), rows, raw.rdd.getNumPartitions()
+    finally:
+        raw.unpersist()
+
+
+@contextmanager
+def _prepared(df: DataFrame, features: Mapping[str, str], scale: bool = False, label: str | None = None,
+              gaps: str = "median", exact: bool = True):
+    """The feature stages fitted on ``df``, and the vectors (and label) to train on.
+
+    AQE packs a small table into one partition; training is bound by computing, not by bytes, so the
+    vectors of such a table are spread over the cores. Those of a large one are dealt anew if its partitions would be of
+    more than about ``PARTITION_ROWS`` rows.
+    """
+    with _filled(df, features, scale, label, gaps, exact) as (stages, filled, rows, partitions):
+        vectors = VectorAssembler(inputCols=list(features), outputCol="_features").transform(filled).select(
+            "_features", *([label] if label else []))
         wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // PARTITION_ROWS))
-        if raw.rdd.getNumPartitions() < wanted:
+        if partitions < wanted:
             vectors = vectors.repartition(wanted)
         yield stages, vectors
-    finally:
-        raw.unpersist()
+
+
+def _spread(numbers: DataFrame, partitions: int) -> DataFrame:
+    """Rows of a small table over the cores."""
+    wanted = numbers.sparkSession.sparkContext.defaultParallelism
+    return numbers.repartition(wanted) if partitions < wanted else numbers
 
 
 def feature_names(model: PipelineModel) -> list[str]:
@@ -139,14 +156,11 @@ def train_classifier(df: DataFrame, target: str, key: str, features: Mapping[str
     train, test = labelled.filter(~F.col("is_test")), labelled.filter("is_test")
     train = train.withColumn("_label_text", F.col(target).cast("string"))
     indexer = StringIndexer(inputCol="_label_text", outputCol="_label", stringOrderType="alphabetAsc")
-    forest = RandomForestClassifier(
-        labelCol="_label", featuresCol="_features", predictionCol="_prediction", rawPredictionCol="_raw",
-        probabilityCol="_probability", numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed,
-        maxMemoryInMB=1024, cacheNodeIds=True,
-    )
-    with _prepared(train, features, label="_label_text") as (stages, vectors):
-        indexed = indexer.fit(vectors)
-        fitted = forest.fit(indexed.transform(vectors))
+    with _filled(train, features, label="_label_text") as (stages, numbers, _, partitions):
+        indexed = indexer.fit(numbers)
+        spread = _spread(indexed.transform(numbers), partitions)
+        fitted = train_forest(spread, list(features), "_label", len(indexed.labels), trees, depth,
+                              math.ceil(math.sqrt(len(features))), seed)
     names = IndexToString(inputCol="_prediction", outputCol="predicted", labels=indexed.labels)
     model = PipelineModel(stages=[*stages, fitted, names])
     return model, score_classes(test, model)
@@ -160,12 +174,8 @@ def train_regressor(df: DataFrame, target: str, key: str, features: Mapping[str,
     labelled = fill(df, exact_medians(df, [target])).withColumn("_label", F.col(target).cast("double"))
     split = split_random(labelled, key, test_fraction, seed)
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    forest = RandomForestRegressor(
-        labelCol="_label", featuresCol="_features", predictionCol="predicted", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="all", seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
-    )
-    with _prepared(train, features, label="_label") as (stages, vectors):
-        fitted = forest.fit(vectors)
+    with _filled(train, features, label="_label") as (stages, numbers, _, partitions):
+        fitted = train_forest(_spread(numbers, partitions), list(features), "_label", 0, trees, depth, len(features), seed)
     model = PipelineModel(stages=[*stages, fitted])
     return model, _visible(model.transform(test))
 

@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cadenza.operators import metrics, models
+from cadenza.operators import forest, metrics, models
 from cadenza.plans import jobs
 from cadenza.streaming.interactions import score_stream
 
@@ -133,3 +134,47 @@ def test_partitions_to_train_on_are_bounded(spark, monkeypatch):
     with models._prepared(rows, {"energy": "`energy`"}) as (_, vectors):
         sizes = vectors.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
     assert sum(sizes) == 3_000 and len(sizes) == 30 and max(sizes) < 150
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_forest_is_the_same_by_histograms_in_one_task_and_in_parts(spark, monkeypatch, classes):
+    """Nodes split by all tasks together, subtrees grown in one, and rows that meet the parts of a large model."""
+    rng = np.random.default_rng(3)
+    x = rng.random((2_000, 3)).round(2)
+    y = (3 * (x[:, 0] * .6 + x[:, 1] * .4)).astype(int) if classes else x[:, 0] + x[:, 1] * x[:, 2]
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, y double").repartition(4).cache()
+    df.count()
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="_features").transform(df)
+
+    def scored(model):
+        name = "_prediction" if classes else "predicted"
+        return {(r["a"], r["b"], r["c"]): r[name] for r in model.transform(vectors).collect()}
+
+    found = {}
+    for name, local, narrow in (("task", 10_000, 10**6), ("levels", 0, 10**6), ("both", 300, 10**6), ("parts", 300, 0)):
+        monkeypatch.setattr(forest, "LOCAL_ROWS", local)
+        monkeypatch.setattr(forest, "NARROW_NODES", narrow)
+        monkeypatch.setattr(forest, "PART_NODES", 100)
+        monkeypatch.setattr(forest, "_SLICE", 300)
+        model = forest.train_forest(df, ["a", "b", "c"], "y", classes, 6, 6, 3, 42)
+        found[name] = scored(model)
+        weights = model.featureImportances.toArray()
+        assert weights.sum() == pytest.approx(1) and weights[0] > .3 and (not classes or weights[2] < .05)
+        tops = sum(len(t["feature"]) for t in model.tops)
+        assert (tops == 6) == (name == "task") and (model.pieces is None) == (name == "levels")
+    for name in ("levels", "both", "parts"):
+        assert found[name].keys() == found["task"].keys()
+        assert max(abs(found[name][k] - found["task"][k]) for k in found["task"]) < 1e-9, name
+    right = [abs(found["task"][tuple(map(float, r))] - v) < (.5 if classes else .1) for r, v in zip(x, y)]
+    assert np.mean(right) > .9
+
+
+def test_large_forest_does_not_pass_through_the_driver(spark, tracks, monkeypatch):
+    """Neither training nor scoring may collect the nodes below the tops."""
+    monkeypatch.setattr(forest, "NARROW_NODES", 0)
+    model, scored = models.train_classifier(tracks, "genre", "track_id", trees=5)
+    fitted = next(s for s in model.stages if isinstance(s, forest.ForestModel))
+    assert sum(len(t["feature"]) for t in fitted.tops) == 5 < fitted.nodes
+    monkeypatch.setattr(fitted, "_where_they_lie", None)
+    again = models.score_classes(tracks, model).join(scored.select("track_id", F.col("predicted").alias("before")), "track_id")
+    assert again.count() == scored.count() == 48 and again.filter("predicted <> before").count() == 0
