@@ -340,19 +340,24 @@ def _levels(top: _Top) -> dict[int, int]:
     return {slot: level[node] for node, slot in enumerate(top.slot) if slot >= 0}
 
 
-def train_forest(numbers: DataFrame, names: Sequence[str], label: str, classes: int, trees: int, depth: int, subset: int,
-                 seed: int, output: str = "predicted") -> ForestModel:
-    """A forest on the double columns ``names`` without gaps. The label is a number, or with ``classes`` the number of one.
+def store_binned(numbers: DataFrame, names: Sequence[str], label: str) -> tuple[DataFrame, list[list[float]]]:
+    """What a forest reads of the double columns ``names`` without gaps and of the label: blocks of bins, stored, and the
+    features' split points."""
+    points = _split_points(numbers, names)
+    return materialise(numbers.select(*names, F.col(label).cast("double").alias("_label")).mapInArrow(
+        _to_blocks(points, BLOCK_ROWS), "n int, bins binary, label binary").withColumn(
+        "block", F.monotonically_increasing_id()), "forest-blocks"), points
+
+
+def train_forest(stored: DataFrame, points: list[list[float]], classes: int, trees: int, depth: int, subset: int, seed: int,
+                 output: str = "predicted") -> ForestModel:
+    """A forest on rows from :func:`store_binned`. The label is a number, or with ``classes`` the number of one.
 
     Trees get Poisson(1) copies of each row, look at ``subset`` features drawn for each node, split by Gini impurity or
     variance and grow to ``depth`` as long as a split lowers the impurity.
     """
-    spark = numbers.sparkSession
-    points = _split_points(numbers, names)
-    stored = materialise(numbers.select(*names, F.col(label).cast("double").alias("_label")).mapInArrow(
-        _to_blocks(points, BLOCK_ROWS), "n int, bins binary, label binary").withColumn(
-        "block", F.monotonically_increasing_id()), "forest-blocks")
-    blocks = _Blocks(stored, len(names), classes, trees, depth, subset, seed)
+    spark = stored.sparkSession
+    blocks = _Blocks(stored, len(points), classes, trees, depth, subset, seed)
     tops = _tops(blocks)
     arrays = [t.arrays(classes, blocks.mean) for t in tops]
     levels = {(tree, slot): level for tree, top in enumerate(tops) for slot, level in _levels(top).items()}

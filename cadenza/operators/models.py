@@ -26,7 +26,7 @@ from cadenza.functions.names import leak_free_features
 from cadenza.functions.scalar import clamp, score_map, top_classes
 from cadenza.operators.clean import fill
 from cadenza.operators.features import MODEL_PARENTS, scaling_stats, standard_scale
-from cadenza.operators.forest import train_forest
+from cadenza.operators.forest import store_binned, train_forest
 from cadenza.operators.metrics import (
     classification_metrics, regression_metrics, silhouette,
 )
@@ -158,9 +158,8 @@ def train_classifier(df: DataFrame, target: str, key: str, features: Mapping[str
     indexer = StringIndexer(inputCol="_label_text", outputCol="_label", stringOrderType="alphabetAsc")
     with _filled(train, features, label="_label_text") as (stages, numbers, _, partitions):
         indexed = indexer.fit(numbers)
-        spread = _spread(indexed.transform(numbers), partitions)
-        fitted = train_forest(spread, list(features), "_label", len(indexed.labels), trees, depth,
-                              math.ceil(math.sqrt(len(features))), seed)
+        stored, points = store_binned(_spread(indexed.transform(numbers), partitions), list(features), "_label")
+    fitted = train_forest(stored, points, len(indexed.labels), trees, depth, math.ceil(math.sqrt(len(features))), seed)
     names = IndexToString(inputCol="_prediction", outputCol="predicted", labels=indexed.labels)
     model = PipelineModel(stages=[*stages, fitted, names])
     return model, score_classes(test, model)
@@ -175,7 +174,8 @@ def train_regressor(df: DataFrame, target: str, key: str, features: Mapping[str,
     split = split_random(labelled, key, test_fraction, seed)
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     with _filled(train, features, label="_label") as (stages, numbers, _, partitions):
-        fitted = train_forest(_spread(numbers, partitions), list(features), "_label", 0, trees, depth, len(features), seed)
+        stored, points = store_binned(_spread(numbers, partitions), list(features), "_label")
+    fitted = train_forest(stored, points, 0, trees, depth, len(features), seed)
     model = PipelineModel(stages=[*stages, fitted])
     return model, _visible(model.transform(test))
 

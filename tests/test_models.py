@@ -150,13 +150,13 @@ def test_forest_is_the_same_by_histograms_in_one_task_and_in_parts(spark, monkey
         name = "_prediction" if classes else "predicted"
         return {(r["a"], r["b"], r["c"]): r[name] for r in model.transform(vectors).collect()}
 
-    found = {}
+    found, stored = {}, forest.store_binned(df, ["a", "b", "c"], "y")
     for name, local, narrow in (("task", 10_000, 10**6), ("levels", 0, 10**6), ("both", 300, 10**6), ("parts", 300, 0)):
         monkeypatch.setattr(forest, "LOCAL_ROWS", local)
         monkeypatch.setattr(forest, "NARROW_NODES", narrow)
         monkeypatch.setattr(forest, "PART_NODES", 100)
         monkeypatch.setattr(forest, "_SLICE", 300)
-        model = forest.train_forest(df, ["a", "b", "c"], "y", classes, 6, 6, 3, 42)
+        model = forest.train_forest(*stored, classes, 6, 6, 3, 42)
         found[name] = scored(model)
         weights = model.featureImportances.toArray()
         assert weights.sum() == pytest.approx(1) and weights[0] > .3 and (not classes or weights[2] < .05)
