@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.operators import trees as T
-from cadenza.session import materialise, scratch_dir
+from cadenza.session import materialise, materialise_blocks, scratch_dir
 
 BLOCK_ROWS = 1 << 16
 #: A node of so many rows or fewer is finished in one task.
@@ -344,7 +344,7 @@ def store_binned(numbers: DataFrame, names: Sequence[str], label: str) -> tuple[
     """What a forest reads of the double columns ``names`` without gaps and of the label: blocks of bins, stored, and the
     features' split points."""
     points = _split_points(numbers, names)
-    return materialise(numbers.select(*names, F.col(label).cast("double").alias("_label")).mapInArrow(
+    return materialise_blocks(numbers.select(*names, F.col(label).cast("double").alias("_label")).mapInArrow(
         _to_blocks(points, BLOCK_ROWS), "n int, bins binary, label binary").withColumn(
         "block", F.monotonically_increasing_id()), "forest-blocks"), points
 
@@ -560,7 +560,7 @@ class ForestModel(Model, MLWritable, MLReadable):
             tops.append({name: top[name] for name in ("feature", "cut", "left")} | {"slots": slots})
         pieces = self.pieces.unionByName(spark.createDataFrame(leaves, _SCHEMA)) if leaves else self.pieces
         dealt = pieces.join(F.broadcast(spark.createDataFrame(parts, "tree int, slot int, part int")), ["tree", "slot"])
-        several = materialise(blocks, "forest-scored")
+        several = materialise(blocks, "forest-scored", **{"parquet.block.row.count.limit": "4"})
         every = F.broadcast(several.select(F.col("block").alias("facing")))
         left = several.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(part))))
         right = dealt.crossJoin(every)

@@ -10,12 +10,10 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +25,7 @@ from cadenza.functions.scalar import clamp, score_map, top_classes
 from cadenza.operators.clean import fill
 from cadenza.operators.features import MODEL_PARENTS, scaling_stats, standard_scale
 from cadenza.operators.forest import store_binned, train_forest
+from cadenza.operators.kmeans import best_of_starts, clusters_model
 from cadenza.operators.metrics import (
     classification_metrics, regression_metrics, silhouette,
 )
@@ -181,24 +180,14 @@ def train_regressor(df: DataFrame, target: str, key: str, features: Mapping[str,
 
 
 def train_clusters(df: DataFrame, k: int = 2, features: Mapping[str, str] | None = None, restarts: int = RESTARTS,
-                   seed: int = SEED, max_iterations: int = 300, parallel: int = 4) -> PipelineModel:
+                   seed: int = SEED, max_iterations: int = 300) -> PipelineModel:
     """K-means on scaled features; of several starts the one with the least cost is kept."""
     features = features or track_features(df.columns)
     tolerance = math.sqrt(TOLERANCE / k)
-    trainers = [
-        KMeans(k=k, seed=seed + i, initMode="k-means||", maxIter=max_iterations, tol=tolerance,
-               featuresCol="_features", predictionCol="cluster")
-        for i in range(restarts)
-    ]
-    with _prepared(df, features, scale=True) as (stages, vectors):
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # The starts do not depend on each other: several run at once.
-            with ThreadPoolExecutor(parallel) as pool:
-                fits = list(pool.map(inheritable_thread_target(df.sparkSession)(lambda t: t.fit(vectors)), trainers))
-        finally:
-            vectors.unpersist()
-    best = min(fits, key=lambda m: m.summary.trainingCost)
+    with _filled(df, features, scale=True) as (stages, numbers, _, partitions):
+        centres, _ = best_of_starts(_spread(numbers, partitions), list(features), k, [seed + i for i in range(restarts)],
+                                    max_iterations, tolerance)
+    best = clusters_model(centres, "_features", "cluster")
     return PipelineModel(stages=[*stages, best])
 
 

@@ -38,14 +38,30 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to shared scratch and read it back, so later steps do not recompute it."""
+def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` once to shared scratch and read it back, so later steps do not recompute it. ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_blocks(df: DataFrame, label: str) -> DataFrame:
+    """:func:`materialise` for rows of some megabytes each, to be read by Python functions alone.
+
+    Parquet's writer looks at a row group's size after a hundred rows only, and a reader holds a row group at once; Spark
+    sends thousands of rows or 64 MB to Python at once. Here a few rows are in each. The copy of the session that reads
+    them has the same settings but for that.
+    """
+    spark = df.sparkSession
+    stored = materialise(df, label, **{"parquet.block.row.count.limit": "4"})
+    session = spark._jsparkSession.cloneSession()
+    session.conf().set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    files = spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 1)
+    files[0] = stored.inputFiles()[0].rsplit("/", 1)[0]
+    return DataFrame(session.read().schema(stored._jdf.schema()).parquet(files), spark)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the scratch folder that :func:`materialise` wrote for ``df``. Nothing may read it any more: all that was made
     from it must be stored itself. Other folders are left alone."""

@@ -1,10 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cadenza.operators import forest, metrics, models
+from cadenza.operators import forest, kmeans, metrics, models
 from cadenza.plans import jobs
 from cadenza.streaming.interactions import score_stream
 
@@ -178,3 +179,28 @@ def test_large_forest_does_not_pass_through_the_driver(spark, tracks, monkeypatc
     monkeypatch.setattr(fitted, "_where_they_lie", None)
     again = models.score_classes(tracks, model).join(scored.select("track_id", F.col("predicted").alias("before")), "track_id")
     assert again.count() == scored.count() == 48 and again.filter("predicted <> before").count() == 0
+
+
+def test_starts_of_clusters_share_their_passes(spark, monkeypatch, tmp_path):
+    """As many passes for ten starts as for the longest of them, and the centres of plain Lloyd steps in memory."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(m, 1.0, (200, 2)) for m in (0, 3, 9)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double").repartition(3).cache()
+    monkeypatch.setattr(kmeans, "BLOCK_VALUES", 100)
+    passes, visit = [], kmeans._Rows.visit
+    monkeypatch.setattr(kmeans._Rows, "visit", lambda *a, **b: passes.append(1) or visit(*a, **b))
+    alone = []
+    for seed in range(42, 46):
+        passes.clear()
+        centres, cost = kmeans.best_of_starts(df, ["a", "b"], 3, [seed], 300, 1e-9)
+        alone.append((cost, len(passes)))
+        gaps = ((x[:, None] - centres) ** 2).sum(axis=2)
+        assert cost == pytest.approx(gaps.min(axis=1).sum())
+        for i, centre in enumerate(centres):
+            assert centre == pytest.approx(x[gaps.argmin(axis=1) == i].mean(axis=0), abs=1e-6)
+    passes.clear()
+    centres, cost = kmeans.best_of_starts(df, ["a", "b"], 3, list(range(42, 46)), 300, 1e-9)
+    assert cost == pytest.approx(min(c for c, _ in alone)) and len(passes) <= max(n for _, n in alone) + 6 < sum(n for _, n in alone)
+    model = kmeans.clusters_model(centres, "_features", "cluster")
+    model.write().overwrite().save(str(tmp_path / "m"))
+    assert np.array(KMeansModel.load(str(tmp_path / "m")).clusterCenters()) == pytest.approx(centres)
