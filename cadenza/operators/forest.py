@@ -55,17 +55,23 @@ def _unpacked(row) -> dict[str, np.ndarray]:
 
 
 def _split_points(numbers: DataFrame, names: Sequence[str]) -> list[list[float]]:
-    """At most ``BINS - 1`` increasing numbers per column: between neighbours of few distinct values, else quantiles."""
-    grid = F.array(*[F.lit(i / T.BINS) for i in range(1, T.BINS)])
-    row = numbers.agg(*[F.percentile_approx(c, grid, 10_000).alias(f"p{i}") for i, c in enumerate(names)],
+    """At most ``BINS - 1`` increasing numbers per column: between neighbours of few distinct values, else quantiles. These
+    are shifted from column to column: of two that follow from each other each splits where the other does not.
+    """
+    shift = [0.5 + 0.6180339887 * (i + 1) % 1 for i in range(len(names))]
+    grids = [F.array(*[F.lit((j / 2 + s) / T.BINS) for j in range(2 * T.BINS - 3)]) for s in shift]
+    row = numbers.agg(*[F.percentile_approx(c, grid, 10_000).alias(f"p{i}") for i, (c, grid) in enumerate(zip(names, grids))],
                       *[F.max(c).alias(f"m{i}") for i, c in enumerate(names)]).first()
     points = []
     for i, c in enumerate(names):
-        found = sorted({p for p in row[f"p{i}"] or [] if p < row[f"m{i}"]})
+        every = [p for p in row[f"p{i}"] or [] if p < row[f"m{i}"]]
+        found = sorted(set(every[::2]))
         if len(found) < T.BINS - 1:  # some value is frequent; are there few?
             values = sorted(r[0] for r in numbers.select(c).distinct().limit(T.BINS + 1).collect())
             if len(values) <= T.BINS:
                 found = [a + (b - a) / 2 for a, b in zip(values, values[1:])]
+            else:
+                found = sorted({*found, *sorted(set(every) - set(found))[:T.BINS - 1 - len(found)]})
         points.append(found)
     return points
 
@@ -160,20 +166,28 @@ class _Top:
                 "classes": kinds, "values": values + mean, "gains": self.gains, "slots": slots}
 
 
-def _descend(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, depth: int, bins: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The node of a top in which each of ``rows`` is. Leaves point to themselves, so all rows take ``depth`` steps."""
-    flat, n = bins.ravel(), bins.shape[1]
+def _closed(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, stride: int = 1):
+    """The arrays of a tree whose leaves point to themselves, so that all rows can take equally many steps."""
     end = feature < 0
-    start = np.where(end, 0, feature).astype(np.int64) * n
-    cut, left = np.where(end, 255, cut).astype(np.uint8), np.where(end, np.arange(len(left)), left).astype(np.int64)
-    at = np.zeros(len(rows), np.int64)
+    return (np.where(end, 0, feature).astype(np.int64) * stride, np.where(end, 255, cut).astype(np.uint8),
+            np.where(end, np.arange(len(left)), left).astype(np.int64))
+
+
+def _steps(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, depth: int, flat: np.ndarray, base: np.ndarray, root: int = 0) -> np.ndarray:
+    """The node that each row reaches in so many steps. ``flat[base + f]`` is its bin of feature ``f``."""
+    at = np.full(len(base), root, np.int64)
     for _ in range(depth):
-        higher = flat.take(start.take(at) + rows) > cut.take(at)
+        higher = flat.take(feature.take(at) + base) > cut.take(at)
         at = left.take(at)
         at += higher
     return at
 
 
+def _descend(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, depth: int, bins: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The node of a top in which each of ``rows`` is, from ``(features, rows)`` of bins."""
+    return _steps(*_closed(feature, cut, left, bins.shape[1]), depth, bins.ravel(), rows)
+
+
 def _histograms(blocks: _Blocks, level: int, jobs: list):
     """A function for ``mapInArrow``: for each ``(item, tree, top arrays, nodes, drawn features)`` of ``jobs``, the histogram
     of a task's rows in these nodes."""
@@ -395,21 +409,28 @@ def _flat(tops: list[dict], pieces: list[tuple[int, int, dict]]) -> dict[str, np
             root = places[tree, int(top["slots"][node])]
             for name in ("feature", "cut", "left", "first", "count"):
                 flat[name][roots[tree] + node] = flat[name][root]
-    return flat | {"roots": np.array(roots[:len(tops)])}
+    steps, at = 0, np.array(roots[:len(tops)])
+    while len(at := at[flat["feature"][at] >= 0]):
+        at, steps = np.concatenate([flat["left"][at], flat["left"][at] + 1]), steps + 1
+    return flat | {"roots": np.array(roots[:len(tops)]), "steps": steps}
 
 
 def _scorer(flat: dict, points: list, width: int):
     """A function of a column of feature arrays: the sums of the trees' votes."""
-    points = [np.array(p) for p in points]
+    points, steps, descend = [np.array(p) for p in points], flat["steps"], _steps
+    feature, cut, left = _closed(flat["feature"], flat["cut"], flat["left"])
 
     def run(column: pa.Array) -> pa.Array:
         n = len(column)
         numbers = column.flatten().to_numpy(zero_copy_only=False).reshape(n, len(points))
-        bins = np.ascontiguousarray(T.to_bins(numbers.T, points).T)
+        lines = np.ascontiguousarray(T.to_bins(numbers.T, points).T).ravel()
         out = np.zeros((n, width))
         base = np.arange(n) * len(points)
         for root in flat["roots"]:
-            leaf = T.walk(bins.ravel(), base, root, flat["feature"], flat["cut"], flat["left"])
+            if steps <= SHALLOW:
+                leaf = descend(feature, cut, left, steps, lines, base, root)
+            else:
+                leaf = T.walk(lines, base, root, flat["feature"], flat["cut"], flat["left"])
             T.vote(out, slice(None), leaf, flat["first"], flat["count"], flat["classes"], flat["values"])
         return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(out.ravel()))
 
