@@ -204,3 +204,10 @@ def test_starts_of_clusters_share_their_passes(spark, monkeypatch, tmp_path):
     model = kmeans.clusters_model(centres, "_features", "cluster")
     model.write().overwrite().save(str(tmp_path / "m"))
     assert np.array(KMeansModel.load(str(tmp_path / "m")).clusterCenters()) == pytest.approx(centres)
+
+
+def test_split_points_of_features_that_follow_from_each_other_differ(spark):
+    df = spark.range(5_000).selectExpr("CAST(id AS double) AS a", "-CAST(id AS double) AS b", "CAST(greatest(id, 600) AS double) AS c")
+    a, b, c = forest._split_points(df, ["a", "b", "c"])
+    assert len(a) == len(b) == len(c) == 31
+    assert min(abs(x + y) for x in a for y in b) > 10
